@@ -27,6 +27,15 @@ def rewritten(df: DataFrame, changes: dict[str, str]) -> DataFrame:
     return df.selectExpr(*columns, *added)
 
 
+def with_facts(df: DataFrame, facts: DataFrame) -> DataFrame:
+    """Add the struct ``_facts`` holding the one row of ``facts`` (an aggregate).
+
+    It is a scalar subquery: computed once before the scan of ``df``, no join. Being
+    one column, it is planned once however many expressions read its fields.
+    """
+    return df.withColumn("_facts", facts.select(F.struct(*facts.columns)).scalar())
+
+
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     """Every numeric column but the excluded ones: the feature list of a sensor table."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in exclude]

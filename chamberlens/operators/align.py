@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from chamberlens.functions.columns import hour_of, numeric_columns, quoted, rewritten
+from chamberlens.functions.columns import hour_of, numeric_columns, quoted, rewritten, text, with_facts
 from chamberlens.operators.clean import drop_gaps
 
 STATS = {"mean": "avg", "max": "max", "min": "min", "std": "stddev_samp"}
@@ -40,13 +40,10 @@ def left_align(x: DataFrame, y: DataFrame, on: str = "date_time") -> DataFrame:
     check is a scalar subquery over the keys of ``y``, evaluated with the join.
     """
     _refuse_shared_names(x, y, on)
-    repeated = (
-        y.where(F.col(on).isNotNull()).groupBy(on).count().where("count > 1").agg(F.count(F.lit(1)).alias("n")).scalar()
-    )
-    refuse = F.raise_error(F.lit(f"left_align: repeated values of {on} on the right side"))
-    guarded = y.select(
-        on, *[F.when(repeated > 0, refuse).otherwise(F.col(c)).alias(c) for c in y.columns if c != on]
-    )
+    repeated = y.where(F.col(on).isNotNull()).groupBy(on).count().where("count > 1").agg(F.count("*").alias("repeated"))
+    refusal = f"raise_error({text(f'left_align: repeated values of {on} on the right side')})"
+    guards = {c: f"CASE WHEN _facts.repeated > 0 THEN {refusal} ELSE {quoted(c)} END" for c in y.columns if c != on}
+    guarded = rewritten(with_facts(y, repeated), guards).drop("_facts")
     return x.join(guarded, on, "left")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from chamberlens.functions.columns import share_of
+from chamberlens.functions.columns import with_facts
 
 # Chart margin and number of residual bins.
 MARGIN = 2
@@ -31,35 +31,23 @@ def residual_histogram(df: DataFrame, y: str = "y", yhat: str = "yhat", bins: in
     a range one unit wide.
     """
     residuals = df.select((F.col(y) - F.col(yhat)).alias("residual")).where("residual IS NOT NULL")
-    low, high = F.min("residual"), F.max("residual")
-    flat = low == high
-    span = residuals.agg(
-        F.struct(
-            F.when(flat, low - 0.5).otherwise(low).alias("low"),
-            F.when(flat, high + 0.5).otherwise(high).alias("high"),
-        ).alias("span")
-    ).scalar()
-    low, high = span.getField("low"), span.getField("high")
-    step = (high - low) / bins
+    span = residuals.agg(F.min("residual").alias("a"), F.max("residual").alias("b")).selectExpr(
+        "CASE WHEN a = b THEN a - 0.5D ELSE a END AS low", "CASE WHEN a = b THEN b + 0.5D ELSE b END AS high"
+    )
 
-    def edge(i):
-        return F.when(i == bins, high).otherwise(low + i * step)
+    def edge(i: str) -> str:
+        return f"CASE WHEN {i} = {bins} THEN _facts.high ELSE _facts.low + {i} * ((_facts.high - _facts.low) / {bins}) END"
 
-    guess = F.least(F.floor(share_of(F.col("residual") - low, high - low) * bins), F.lit(bins - 1))
-    placed = residuals.withColumn("guess", guess)
+    share = "(residual - _facts.low) / (_facts.high - _facts.low)"
+    guessed = with_facts(residuals, span).withColumn("guess", F.expr(f"least(floor({share} * {bins}), {bins - 1})"))
     # the quotient may round across an edge; the edges themselves decide
-    settled = (
-        F.when((F.col("guess") > 0) & (F.col("residual") < edge(F.col("guess"))), F.col("guess") - 1)
-        .when((F.col("guess") < bins - 1) & (F.col("residual") >= edge(F.col("guess") + 1)), F.col("guess") + 1)
-        .otherwise(F.col("guess"))
-    )
-    counts = placed.groupBy(settled.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(counts, "bin", "left").select(
-        "bin",
-        edge(F.col("bin")).alias("lo"),
-        edge(F.col("bin") + 1).alias("hi"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+    counts = guessed.selectExpr(
+        f"CAST(CASE WHEN guess > 0 AND residual < {edge('guess')} THEN guess - 1 "
+        f"WHEN guess < {bins - 1} AND residual >= {edge('(guess + 1)')} THEN guess + 1 ELSE guess END AS INT) AS bin"
+    ).groupBy("bin").agg(F.count("*").alias("n"))
+    all_bins = df.sparkSession.range(bins).selectExpr("CAST(id AS INT) AS bin")
+    return with_facts(all_bins.join(counts, "bin", "left"), span).selectExpr(
+        "bin", f"{edge('bin')} AS lo", f"{edge('(bin + 1)')} AS hi", "coalesce(n, 0) AS n"
     )
 
 

@@ -15,8 +15,8 @@ from chamberlens.functions.columns import (
     prefixed,
     quoted,
     rewritten,
-    share_of,
     type_names,
+    with_facts,
 )
 
 # Five chambers, three probes each.
@@ -124,9 +124,10 @@ def normalize(df: DataFrame | None, col: str = "quality", scale: float = 100, fi
         return None
     df = nan_as_null(df)
     source = df if fit_on is None else nan_as_null(fit_on)
-    limits = source.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high")).alias("limits")).scalar()
-    low, high = limits.getField("low"), limits.getField("high")
-    return df.withColumn(col, share_of((F.col(col) - low).cast("double"), (high - low).cast("double")) * scale)
+    limits = source.agg(F.min(col).alias("low"), F.max(col).alias("high"))
+    c = quoted(col)
+    scaled = f"try_divide(CAST({c} - _facts.low AS DOUBLE), CAST(_facts.high - _facts.low AS DOUBLE)) * {scale}"
+    return rewritten(with_facts(df, limits), {col: scaled}).drop("_facts")
 
 
 def parse_time(df: DataFrame | None, col: str = "date_time", errors: str = "raise", fmt: str | None = None) -> DataFrame | None:

@@ -7,6 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from chamberlens.functions.columns import quoted, rewritten, with_facts
+
 FEATURES = "features"
 # Spark ML grows trees to at most this depth; "unlimited" is mapped to it.
 DEEPEST = 30
@@ -22,17 +24,12 @@ def standardize(train: DataFrame, columns: list[str], *others: DataFrame) -> lis
 
     The training moments are one scalar subquery row.
     """
-    moments = train.agg(
-        F.struct(
-            *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(c).alias(f"dev_{i}") for i, c in enumerate(columns)],
-        ).alias("moments")
-    ).scalar()
-    scaled = {}
-    for i, c in enumerate(columns):
-        mean, dev = moments.getField(f"mean_{i}"), moments.getField(f"dev_{i}")
-        scaled[c] = (F.col(c) - mean) / F.when(dev == 0, F.lit(1.0)).otherwise(dev)
-    return [frame.withColumns(scaled) for frame in (train, *others)]
+    moments = train.selectExpr(
+        *[f"avg({quoted(c)}) AS mean_{i}" for i, c in enumerate(columns)],
+        *[f"CASE WHEN stddev_pop({quoted(c)}) = 0 THEN 1.0D ELSE stddev_pop({quoted(c)}) END AS dev_{i}" for i, c in enumerate(columns)],
+    )
+    scaled = {c: f"({quoted(c)} - _facts.mean_{i}) / _facts.dev_{i}" for i, c in enumerate(columns)}
+    return [rewritten(with_facts(frame, moments), scaled).drop("_facts") for frame in (train, *others)]
 
 
 def linear_estimator(target: str = "quality", **params) -> LinearRegression:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from chamberlens.functions.columns import share_of
+from chamberlens.functions.columns import share_of, with_facts
 
 # Fixed value: the share the Pareto rule asks for, in per cent.
 PARETO_SHARE = 80
@@ -71,5 +71,5 @@ def pareto_cut(shares: DataFrame, threshold: float = PARETO_SHARE) -> DataFrame:
 
 def smallest_sufficient(results: DataFrame, ratio: float = 0.99) -> DataFrame:
     """The smallest n_vars whose r2 is at least ``ratio`` of the best one, null if none is."""
-    best = results.agg(F.max("r2").alias("best")).scalar()
-    return results.where(F.col("r2") >= best * ratio).agg(F.min("n_vars").alias("n_vars"))
+    best = results.agg(F.max("r2").alias("best"))
+    return with_facts(results, best).where(f"r2 >= _facts.best * {ratio}").agg(F.min("n_vars").alias("n_vars"))

@@ -225,7 +225,7 @@ def _histogram() -> str:
 
 def _lineitem_pairs() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS var_i, '{b}' AS var_j, {'1.0' if a == b else _r(f'corr({a}, {b})')} AS r FROM lineitem"
+        f"SELECT '{a}' AS var_i, '{b}' AS var_j, {'max(1.0)' if a == b else _r(f'corr({a}, {b})')} AS r FROM lineitem"
         for a in LINEITEM_COLUMNS
         for b in LINEITEM_COLUMNS
     )
@@ -333,7 +333,7 @@ ORACLES: dict[str, str] = {
         g2=_grid("H_data", 100, "v"),
     ),
     "pdp_2d": _sql(
-        f"SELECT {_r('v1')} AS value_1, {_r('v2')} AS value_2, {_r('2 + 0.05 * v1 + 0.1 * v2 + 0.001 * v1 * v2')} AS pd FROM g1, g2",
+        f"SELECT {_r('v1', 4)} AS value_1, {_r('v2', 4)} AS value_2, {_r('2 + 0.05 * v1 + 0.1 * v2 + 0.001 * v1 * v2', 4)} AS pd FROM g1, g2",
         g1=_grid("T_data_3_1", 10, "v1"),
         g2=_grid("H_data", 10, "v2"),
     ),

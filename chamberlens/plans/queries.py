@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chamberlens.functions.columns import numeric_columns, rewritten
+from chamberlens.functions.columns import numeric_columns, rewritten, with_facts
 from chamberlens.operators.align import exact_join, hourly_features, hourly_join, left_align, shift_time
 from chamberlens.operators.boost import RegularizedBoosting
 from chamberlens.operators.charts import actual_vs_predicted, axis_limits, prediction_examples, residual_histogram
@@ -230,16 +230,17 @@ def standardize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["T_data_3_1", "H_data"]
-    train, _ = holdout(_exact(spark, sf_dir).select(KEY, *columns, TARGET), KEY)
-    model = fit(linear_estimator(TARGET), standardize(train, columns)[0], columns).stages[-1]
+    with kept(_exact(spark, sf_dir).select(KEY, *columns, TARGET)) as aligned:
+        train, _ = holdout(aligned, KEY)
+        model = fit(linear_estimator(TARGET), standardize(train, columns)[0], columns).stages[-1]
     return rounded(coefficients(model, columns))
 
 
 def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _exact(spark, sf_dir)
-    columns = _features(aligned)
-    with kept(aligned) as held:
-        train, test = standardize(holdout(held, KEY)[0], columns, holdout(held, KEY)[1])
+    with kept(_exact(spark, sf_dir)) as aligned:
+        columns = _features(aligned)
+        train, test = holdout(aligned, KEY)
+        train, test = standardize(train, columns, test)
         model = fit(linear_estimator(TARGET), train, columns)
     return regression_metrics(predict(model, test), model="linear")
 
@@ -284,11 +285,8 @@ def feature_importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line(aligned: DataFrame, feature: str) -> DataFrame:
     """(date_time, y, yhat) of the least-squares line on one feature."""
-    line = aligned.agg(
-        F.struct(F.regr_slope(TARGET, feature).alias("a"), F.regr_intercept(TARGET, feature).alias("b")).alias("line")
-    ).scalar()
-    yhat = line.getField("a") * F.col(feature) + line.getField("b")
-    return aligned.select(KEY, F.col(TARGET).alias("y"), yhat.alias("yhat"))
+    line = aligned.agg(F.regr_slope(TARGET, feature).alias("a"), F.regr_intercept(TARGET, feature).alias("b"))
+    return with_facts(aligned, line).selectExpr(KEY, f"{TARGET} AS y", f"_facts.a * {feature} + _facts.b AS yhat")
 
 
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,7 +402,7 @@ def pdp_1d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pdp_2d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data", grid=10))
+    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data", grid=10), 4)
 
 
 def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

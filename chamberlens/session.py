@@ -28,19 +28,18 @@ def build_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``, or set on the context.
 
     Only a local session may fall back to a temporary folder: on a cluster the
     executors would not share it, so an unset folder is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="chamberlens-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="chamberlens-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,0 +1,219 @@
+"""Order statistics, splits and joins on skewed data, against brute force."""
+
+import datetime as dt
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chamberlens.functions.ranks import order_statistics, quantiles
+from chamberlens.operators.align import exact_join, hourly_join, left_align
+from chamberlens.operators.clean import clean_sensors
+from chamberlens.operators.explain import grid_values
+from chamberlens.operators.sample import folds, holdout
+from chamberlens.operators.stats import numeric_summary
+from chamberlens.session import scratch_root
+from chamberlens.sources.event_sensors import sensor_and_quality
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def plan_of(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+@pytest.fixture(scope="module")
+def skewed():
+    rng = np.random.default_rng(7)
+    values = np.concatenate([np.full(1000, 3.25), rng.lognormal(0, 5, 1500), -rng.lognormal(0, 9, 500), [1e300, -1e300, 5e-324]])
+    rng.shuffle(values)
+    return values
+
+
+def test_order_statistics_are_exact(spark, skewed):
+    df = spark.createDataFrame([(float(v), float(-v)) for v in skewed] + [(None, math.nan)], "a double, b double").repartition(7)
+    n = len(skewed)
+    ranks = [1, 2, n // 3, n // 2, n - 1, n]
+    hits = order_statistics(df, ["a", "b"], lambda c, size: ranks if size == n else [])
+    for c, ordered in (("a", np.sort(skewed)), ("b", np.sort(-skewed))):
+        for r in ranks:
+            hit = hits[c][r]
+            assert hit.value == ordered[r - 1]
+            assert (hit.below, hit.at) == (int((ordered < hit.value).sum()), int((ordered == hit.value).sum()))
+
+
+def test_weighted_order_statistics(spark):
+    df = spark.createDataFrame([(1.0, 5), (2.0, 1), (9.0, 4)], "a double, w bigint")
+    hits = order_statistics(df, ["a"], lambda c, n: [1, 5, 6, 7, n], "w")["a"]
+    assert {r: h.value for r, h in hits.items()} == {1: 1.0, 5: 1.0, 6: 2.0, 7: 9.0, 10: 9.0}
+
+
+def test_quantiles_match_numpy(spark, skewed):
+    usable = skewed[np.abs(skewed) < 1e200]
+    df = spark.createDataFrame([(float(v),) for v in usable], "a double")
+    probabilities = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    assert quantiles(df, ["a"], probabilities)["a"] == pytest.approx(list(np.quantile(usable, probabilities)), rel=1e-12)
+    empty = spark.createDataFrame([(None,)], "a double")
+    assert quantiles(empty, ["a"], [0.5])["a"] == [None]
+    one = spark.createDataFrame([(4.0,)], "a double")
+    assert quantiles(one, ["a"], [0.05, 0.95], plotting=0.4)["a"] == [4.0, 4.0]
+
+
+def test_summary_matches_pandas(spark, skewed):
+    import pandas as pd
+
+    usable = skewed[np.abs(skewed) < 1e6]
+    got = {r.statistic: r.value for r in numeric_summary(spark.createDataFrame([(float(v),) for v in usable], "a double"), "a").collect()}
+    want = pd.Series(usable).describe()
+    assert list(got) == list(want.index)
+    assert [got[k] for k in want.index] == pytest.approx(list(want))
+
+
+def test_grid_lists_few_values_and_spaces_many(spark):
+    rows = [(float(i % 7), float(i)) for i in range(3000)]
+    points = grid_values(spark.createDataFrame(rows, "few double, many double"), ["few", "many"], grid=20)
+    assert points["few"] == [0, 1, 2, 3, 4, 5, 6]
+    assert len(points["many"]) == 20
+    # plotting position 0.4 + 0.2 p over 3000 even values
+    assert points["many"][0] == pytest.approx(3000 * 0.05 + 0.41 - 1) and points["many"][-1] == pytest.approx(3000 * 0.95 + 0.59 - 1)
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "k timestamp_ntz, v bigint").repartition(5)
+
+
+def shared_out(df, key, parts):
+    return Counter(tuple(r) for p in parts for r in p.collect())
+
+
+CASES = {
+    "distinct keys": [(T0 + dt.timedelta(microseconds=i), i) for i in range(1003)],
+    "a third are copies": [(T0, 1)] * 400 + [(T0 + dt.timedelta(seconds=i + 1), i) for i in range(803)],
+    "a third share a key": [(T0, i) for i in range(400)] + [(T0 + dt.timedelta(seconds=i + 1), i) for i in range(803)],
+    "nothing but copies": [(T0, 1)] * 97,
+    "null keys": [(None, i % 3) for i in range(50)] + [(T0, 1)] * 51,
+}
+
+
+@pytest.mark.parametrize("case", list(CASES))
+def test_holdout_has_the_exact_size_and_loses_nothing(spark, case):
+    rows = CASES[case]
+    df = keyed(spark, rows)
+    train, test = holdout(df, "k")
+    assert test.count() == math.ceil(0.2 * len(rows))
+    assert shared_out(df, "k", (train, test)) == Counter(rows)
+    again = holdout(df.repartition(3), "k")[1]
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, test.collect()))
+
+
+@pytest.mark.parametrize("case", list(CASES))
+def test_folds_are_even_and_lose_nothing(spark, case):
+    rows = CASES[case]
+    placed = folds(keyed(spark, rows), "k", 5)
+    sizes = {r.fold: r["count"] for r in placed.groupBy("fold").count().collect()}
+    n = len(rows)
+    assert [sizes[i] for i in range(5)] == [n // 5 + (1 if i < n % 5 else 0) for i in range(5)]
+    assert Counter((r.k, r.v) for r in placed.collect()) == Counter(rows)
+
+
+def test_many_copies_are_repeated_in_blocks(spark, monkeypatch):
+    import chamberlens.operators.sample as sample
+
+    monkeypatch.setattr(sample, "COPIES_PER_TASK", 7)
+    rows = [(T0, 1)] * 100
+    train, test = holdout(keyed(spark, rows), "k")
+    assert (train.count(), test.count()) == (80, 20)
+
+
+def test_different_seeds_differ_and_microseconds_count(spark):
+    df = keyed(spark, CASES["distinct keys"])
+    a, b = (set(r.v for r in holdout(df, "k", seed=s)[1].collect()) for s in (1, 2))
+    assert a != b and len(a) == len(b) == 201
+    approximate = holdout(df, "k", exact=False)[1].count()
+    assert 150 < approximate < 250
+
+
+def hot_sensors(spark, hot=30_000, cold=3_000):
+    """A third and more of the rows at one minute."""
+    return spark.range(hot + cold).repartition(12).selectExpr(
+        f"CASE WHEN id < {hot} THEN TIMESTAMP_NTZ '2024-01-01 05:00:00' "
+        f"ELSE TIMESTAMP_NTZ '2024-01-02 00:00:00' + make_dt_interval(0, 0, CAST(id - {hot} AS INT)) END AS date_time",
+        "id % 100 AS T_a",
+    )
+
+
+def one_per_minute(spark, n=4000):
+    return spark.range(n).selectExpr(
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT)) AS date_time", "CAST(id AS DOUBLE) AS quality"
+    )
+
+
+@pytest.mark.parametrize("join", [exact_join, left_align])
+def test_a_crowded_minute_is_split_between_tasks(spark, conf, join):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    conf("spark.sql.shuffle.partitions", "12")
+    joined = join(hot_sensors(spark), one_per_minute(spark))
+    matched = [r for r in joined.collect() if r.quality is not None]
+    assert len(matched) == 30_000 + (4000 - 1440)
+    assert "skew=true" in plan_of(joined)
+
+
+def test_a_crowded_hour_of_measurements_is_spread(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    x = one_per_minute(spark, 600).withColumnRenamed("quality", "T_a")
+    hot = hot_sensors(spark, 6000, 0).withColumn("quality", F.lit(1.5)).drop("T_a")
+    joined = hourly_join(x, hot)
+    assert joined.count() == 6000
+    per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) > 3 and max(per_task) < 6000
+    assert joined.select("date_time", "T_a_mean").distinct().count() == 1
+
+
+def test_gap_filter_reaches_the_scan(spark, small, tmp_path):
+    x, _ = sensor_and_quality(spark, small)
+    x.write.parquet(str(tmp_path / "x"))
+    plan = plan_of(clean_sensors(spark.read.parquet(str(tmp_path / "x"))))
+    assert "IsNotNull(H_data)" in plan and "IsNotNull(T_data_5_3)" in plan
+
+
+def test_cleaning_stays_below_the_jvm_compile_limit(spark, small, tmp_path):
+    import re
+
+    x, _ = sensor_and_quality(spark, small)
+    x.write.parquet(str(tmp_path / "x"))
+    cleaned = clean_sensors(spark.read.parquet(str(tmp_path / "x")))
+    text = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(cleaned._jdf.queryExecution().executedPlan())
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
+
+
+def test_scratch_follows_the_session(spark):
+    class Conf(dict):
+        pass
+
+    class Session:
+        conf = Conf({"spark.checkpoint.dir": "hdfs://shared/cp/"})
+
+    assert scratch_root(Session) == "hdfs://shared/cp"
+
+    class Context:
+        master = "yarn"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Bare:
+        conf = Conf()
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Bare)

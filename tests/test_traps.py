@@ -1,0 +1,277 @@
+"""Small hand-made tables for the cases in which engines differ."""
+
+import datetime as dt
+import math
+from itertools import permutations
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from chamberlens.operators.align import exact_join, hourly_features, hourly_join, left_align, shift_time
+from chamberlens.operators.charts import residual_histogram
+from chamberlens.operators.clean import anomaly_flags, clean_sensors, clip_prefix, drop_gaps, normalize, parse_time, repair_triplets
+from chamberlens.operators.metrics import regression_metrics
+from chamberlens.operators.models import standardize
+from chamberlens.operators.rank import pareto, pareto_cut, smallest_sufficient
+from chamberlens.operators.stats import correlation_matrix
+from chamberlens.sources.tables import read_pair, read_table, scan_counts, write_report
+
+ONE = [("T_a", "T_b", "T_c")]
+T0 = dt.datetime(2024, 1, 1, 10)
+
+
+def triplet(spark, rows, kind="bigint"):
+    return spark.createDataFrame(rows, f"T_a {kind}, T_b {kind}, T_c {kind}")
+
+
+def probes(df):
+    return [tuple(r) for r in df.select("T_a", "T_b", "T_c").collect()]
+
+
+def expected_repair(a, b, c):
+    """Masks on raw values, replacements in order."""
+    m1, m2, m3 = (abs(a - b) > 50 and abs(a - c) > 50), (abs(b - a) > 50 and abs(b - c) > 50), (abs(c - a) > 50 and abs(c - b) > 50)
+    if m1:
+        a = (b + c) // 2
+    if m2:
+        b = (a + c) // 2
+    if m3:
+        c = (a + b) // 2
+    return (a, b, c), (m1, m2, m3)
+
+
+def test_nan_is_a_gap_and_never_flags(spark):
+    rows = [(math.nan, 10.0, 10.0), (10.0, math.nan, 200.0)]
+    flags = anomaly_flags(triplet(spark, rows, "double"), ONE).select("flag_T_a", "flag_T_b", "flag_T_c").collect()
+    assert all(not v for r in flags for v in r)
+    assert clean_sensors(triplet(spark, rows, "double"), ONE).count() == 0
+
+
+def test_clip_keeps_gaps(spark):
+    assert probes(clip_prefix(triplet(spark, [(None, -5, 1300), (0, 1200, 7)]))) == [(None, 0, 1200), (0, 1200, 7)]
+
+
+def test_mean_is_floored_below_zero(spark):
+    # siblings average to -3.5
+    assert probes(repair_triplets(triplet(spark, [(100, -3, -4)]), ONE)) == [(-4, -3, -4)]
+    assert probes(repair_triplets(triplet(spark, [(100.0, -3.0, -4.0)], "double"), ONE)) == [(-4.0, -3.0, -4.0)]
+
+
+def test_threshold_is_strict(spark):
+    assert probes(repair_triplets(triplet(spark, [(50, 0, 0), (51, 0, 0)]), ONE)) == [(50, 0, 0), (0, 0, 0)]
+
+
+def test_repairs_cascade_and_fire_0_1_or_3_times(spark):
+    values = [0, 51, 102, 150, -7, 1300]
+    rows = [p for p in permutations(values, 3)] + [(a, a, b) for a in values for b in values]
+    got = repair_triplets(triplet(spark, rows), ONE)
+    assert probes(got) == [expected_repair(*r)[0] for r in rows]
+    flags = anomaly_flags(triplet(spark, rows), ONE).select("flag_T_a", "flag_T_b", "flag_T_c").collect()
+    assert [tuple(f) for f in flags] == [expected_repair(*r)[1] for r in rows]
+    assert {sum(f) for f in flags} == {0, 1, 3}
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(*[st.integers(-900, 1500)] * 3), min_size=1, max_size=200))
+def test_repair_property(rows):
+    from chamberlens.session import build_session
+
+    spark = build_session("tests", shuffle_partitions=4)
+    assert probes(repair_triplets(triplet(spark, rows), ONE)) == [expected_repair(*r)[0] for r in rows]
+    cleaned = probes(clean_sensors(triplet(spark, rows), ONE))
+    assert all(0 <= v <= 1200 for r in cleaned for v in r)
+
+
+def test_filter_first_equals_filter_last(spark, medium):
+    from chamberlens.sources.event_sensors import sensor_and_quality
+
+    x, _ = sensor_and_quality(spark, medium)
+    last = drop_gaps(clip_prefix(repair_triplets(x)))
+    first = clean_sensors(x)
+    assert first.exceptAll(last).count() == 0 and last.exceptAll(first).count() == 0
+
+
+def test_none_passes_through(spark):
+    assert clean_sensors(None) is None and normalize(None) is None and parse_time(None) is None
+
+
+def test_constant_target_scales_to_null(spark):
+    y = spark.createDataFrame([(T0, 5.0), (T0, 5.0)], "date_time timestamp_ntz, quality double")
+    assert [r.quality for r in normalize(y).collect()] == [None, None]
+
+
+def test_range_can_come_from_other_rows(spark):
+    y = spark.createDataFrame([(0.0,), (10.0,), (20.0,)], "quality double")
+    assert [r.quality for r in normalize(y, fit_on=y.where("quality <= 10")).collect()] == [0.0, 100.0, 200.0]
+
+
+def test_correlation_constant_gap_and_disjoint(spark):
+    rows = [(1.0, 0.1, 2.0, None, 5.0), (2.0, 0.1, 4.0, 1.0, None), (3.0, 0.1, 6.5, 2.0, None), (None, 0.1, 1.0, 4.0, None)]
+    df = spark.createDataFrame(rows, "a double, c double, b double, g double, h double").repartition(3)
+    r = {(p.var_i, p.var_j): p.r for p in correlation_matrix(df).collect()}
+    assert len(r) == 25
+    assert r["a", "c"] is None and r["c", "c"] is None and r["c", "g"] is None
+    import pandas as pd
+
+    want = pd.DataFrame(rows, columns=list("acbgh"), dtype=float).corr()
+    for (i, j), v in r.items():
+        if math.isnan(want.loc[i, j]):
+            assert v is None
+        else:
+            assert v == pytest.approx(want.loc[i, j], abs=1e-12)
+
+
+def test_correlation_survives_a_large_offset(spark):
+    rows = [(1e9 + i * 1e-3, float((i * 7) % 13)) for i in range(500)]
+    import numpy as np
+
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    got = {(p.var_i, p.var_j): p.r for p in correlation_matrix(df).collect()}["a", "b"]
+    centred = np.array(rows) - np.array([1e9, 0])
+    assert got == pytest.approx(np.corrcoef(centred.T)[0, 1], abs=1e-5)
+
+
+def sensors(spark, rows):
+    return spark.createDataFrame(rows, "date_time timestamp_ntz, T_a bigint")
+
+
+def measured(spark, rows):
+    return spark.createDataFrame(rows, "date_time timestamp_ntz, quality double")
+
+
+def at(minutes):
+    return T0 + dt.timedelta(minutes=minutes)
+
+
+def test_one_row_hour_has_no_deviation_and_drops(spark):
+    x = sensors(spark, [(at(1), 5), (at(61), 1), (at(62), 3)])
+    features = {r.date_time: r.T_a_std for r in hourly_features(x).collect()}
+    assert features == {at(0): None, at(60): pytest.approx(2**0.5)}
+    joined = hourly_join(x, measured(spark, [(at(5), 1.0), (at(70), 2.0), (at(71), 3.0), (at(200), 4.0)]))
+    assert sorted(r.quality for r in joined.collect()) == [2.0, 3.0]
+
+
+def test_hours_stay_zone_naive(spark, conf):
+    conf("spark.sql.session.timeZone", "Asia/Kathmandu")
+    x = sensors(spark, [(at(59), 5), (dt.datetime(1969, 12, 31, 23, 59, 59, 999999), 1)])
+    features = hourly_features(x)
+    assert dict(features.dtypes)["date_time"] == "timestamp_ntz"
+    assert {r.date_time for r in features.collect()} == {at(0), dt.datetime(1969, 12, 31, 23)}
+
+
+def test_repeated_measurement_times_raise(spark):
+    x = sensors(spark, [(at(0), 1), (at(1), 2)])
+    with pytest.raises(PySparkException, match="repeated values"):
+        left_align(x, measured(spark, [(at(0), 1.0), (at(0), 2.0)])).collect()
+    kept = left_align(x, measured(spark, [(at(0), 1.0), (None, 5.0), (None, 6.0)])).orderBy("date_time").collect()
+    assert [r.quality for r in kept] == [1.0, None]
+
+
+def test_shared_names_raise(spark):
+    x = spark.createDataFrame([(T0, 1.0)], "date_time timestamp_ntz, quality double")
+    for join in (exact_join, left_align):
+        with pytest.raises(ValueError, match="both sides"):
+            join(x, x)
+
+
+def test_null_times_do_not_match_and_copies_multiply(spark):
+    x = sensors(spark, [(None, 1), (at(0), 2), (at(0), 2)])
+    y = measured(spark, [(None, 1.0), (at(0), 2.0), (at(0), 3.0)])
+    assert exact_join(x, y).count() == 4
+
+
+def test_shift_is_one_hour_back(spark):
+    assert shift_time(measured(spark, [(at(60), 1.0)])).first().date_time == T0
+
+
+def test_pareto_rounds_half_even_and_cuts_on_rounded_shares(spark):
+    shares = pareto(spark.createDataFrame([("a", 79.95), ("b", 12.30), ("c", 7.75)], "variable string, importance double"))
+    assert [r.cumul_pct for r in shares.orderBy("position").collect()] == [pytest.approx(80.0, abs=0.11), pytest.approx(92.2, abs=0.11), 100.0]
+    plain = pareto(spark.createDataFrame([("a", 50.0), ("b", 30.0), ("c", 15.0), ("d", 5.0)], "variable string, importance double"))
+    cut = pareto_cut(plain).first()
+    assert (cut.n_below, cut.n_reaching, cut.n_variables, cut.dispensable) == (2, 2, 4, "c,d")
+    crossing = pareto_cut(pareto(spark.createDataFrame([("a", 70.0), ("b", 20.0), ("c", 10.0)], "variable string, importance double"))).first()
+    assert (crossing.n_below, crossing.n_reaching, crossing.dispensable) == (1, 2, "b,c")
+
+
+def residuals(spark, values):
+    return spark.createDataFrame([(float(v), 0.0) for v in values], "y double, yhat double")
+
+
+@pytest.mark.parametrize("values", [[0, 1, 2, 40, 40], [3, 3, 3], [0.1 * i for i in range(41)], [-5, -4.999, 7.3, 2.2]])
+def test_histogram_matches_numpy(spark, values):
+    import numpy as np
+
+    counts, edges = np.histogram(np.array(values, dtype=float), bins=40)
+    got = residual_histogram(residuals(spark, values)).orderBy("bin").collect()
+    assert [r.n for r in got] == list(counts)
+    assert [r.lo for r in got] == pytest.approx(list(edges[:-1])) and got[-1].hi == pytest.approx(edges[-1])
+
+
+def test_scaler_uses_population_deviation(spark):
+    df = spark.createDataFrame([(1.0, 4.0), (3.0, 4.0)], "a double, b double")
+    scaled, other = standardize(df, ["a", "b"], spark.createDataFrame([(5.0, 6.0)], "a double, b double"))
+    assert [tuple(r) for r in scaled.orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+    assert tuple(other.first()) == (3.0, 2.0)
+
+
+def test_no_subset_is_good_enough_when_all_scores_are_negative(spark):
+    rows = spark.createDataFrame([(1, -2.0), (2, -1.0)], "n_vars int, r2 double")
+    assert smallest_sufficient(rows).first().n_vars is None
+    rows = spark.createDataFrame([(1, 0.5), (2, 0.995), (3, 1.0)], "n_vars int, r2 double")
+    assert smallest_sufficient(rows).first().n_vars == 2
+
+
+def test_metrics_of_constant_targets(spark):
+    row = regression_metrics(residuals(spark, [2, 2])).first()
+    assert (row.r2, row.mae, row.rmse) == (0.0, 2.0, 2.0)
+    assert regression_metrics(residuals(spark, [0, 0])).first().r2 == 1.0
+
+
+def test_missing_file_gives_none_and_a_message(spark, tmp_path, capsys):
+    x, y = read_pair(spark, str(tmp_path / "no_x.csv"), str(tmp_path / "no_y.csv"))
+    assert x is None and y is None
+    assert "no_x.csv" in capsys.readouterr().out
+    assert read_table(spark, str(tmp_path / "no.parquet"), "parquet") is None
+
+
+def test_csv_columns_are_typed_by_name(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("H_data,date_time,T_a\n1.5,2024-01-01 10:00:00,7\n,2024-01-01 10:01:00,\n")
+    x = read_table(spark, str(path))
+    assert x.dtypes == [("H_data", "double"), ("date_time", "string"), ("T_a", "bigint")]
+    assert [tuple(r) for r in x.collect()] == [(1.5, "2024-01-01 10:00:00", 7), (None, "2024-01-01 10:01:00", None)]
+    assert scan_counts({"x": x}).first().n_rows == 2
+    write_report(x, str(tmp_path / "report"))
+    assert read_table(spark, str(tmp_path / "report"), "parquet").count() == 2
+
+
+def test_malformed_cells_raise_unless_told_otherwise(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("date_time,T_a\n2024-01-01 10:00:00,seven\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_table(spark, str(path)).collect()
+    assert read_table(spark, str(path), malformed="null").first().T_a is None
+
+
+def test_bad_times_raise_unless_told_otherwise(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00",), ("soon",)], "date_time string")
+    with pytest.raises(PySparkException):
+        parse_time(df).collect()
+    assert [r.date_time for r in parse_time(df, errors="null").collect()] == [T0, None]
+    with pytest.raises(ValueError):
+        parse_time(df, errors="ignore")
+
+
+def test_cleaning_accepts_a_stream(spark, tmp_path):
+    triplet(spark, [(100, 0, 0), (None, 1, 1), (5, 6, 7)]).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("T_a bigint, T_b bigint, T_c bigint").parquet(str(tmp_path / "in"))
+    query = (
+        clean_sensors(stream, ONE).writeStream.format("memory").queryName("cleaned")
+        .option("checkpointLocation", str(tmp_path / "cp")).start()
+    )
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(probes(spark.table("cleaned"))) == [(0, 0, 0), (5, 6, 7)]
