@@ -101,19 +101,22 @@ def _slice_counts(df, values, number, spans):
     """Per span: (low, high, rows) of each non-empty slice, in value order."""
     total = sum(len(s) for s in spans.values())
     slices = max(64, SLICES_PER_PASS // total)
-    slots, entries = [], []
+    slots, entries, near = [], [], []
     for c, column_spans in spans.items():
         v = values[c]
         slot, place = [], []
         for span in column_spans:
             low, high = _exact(span.low), _exact(span.high)
+            near.append(f"{v} BETWEEN {low} AND {high}")
             slot.append(f"WHEN {v} BETWEEN {low} AND {high} THEN {len(slots)}")
             cut = f"CAST(floor(({v} - {low}) / ({high} - {low}) * {slices}) AS INT)"
             place.append(f"WHEN {v} BETWEEN {low} AND {high} THEN least({cut}, {slices - 1})")
             slots.append((c, span))
         entries.append(f"struct(CASE {' '.join(slot)} END AS slot, CASE {' '.join(place)} END AS slice, {v} AS value)")
     rows = (
-        df.selectExpr(f"explode(array({', '.join(entries)})) AS e", f"{number} AS n")
+        # a short test for one column; for many it would only burden the optimizer
+        df.where(" OR ".join(near) if len(spans) == 1 else "true")
+        .selectExpr(f"explode(array({', '.join(entries)})) AS e", f"{number} AS n")
         .where("e.slot IS NOT NULL")
         .groupBy("e.slot", "e.slice")
         .agg(F.min("e.value").alias("low"), F.max("e.value").alias("high"), F.sum("n").alias("n"))

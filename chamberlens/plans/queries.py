@@ -50,7 +50,7 @@ from chamberlens.plans.flows import (
     kept,
     prepare,
 )
-from chamberlens.session import scratch_path
+from chamberlens.session import materialize, scratch_path
 from chamberlens.sources.event_sensors import sensor_and_quality
 from chamberlens.sources.tables import read_pair, scan_counts
 
@@ -392,7 +392,9 @@ def _formula(df: DataFrame) -> DataFrame:
 
 
 def _training_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holdout(_exact(spark, sf_dir).select(KEY, "T_data_3_1", "H_data"), KEY)[0]
+    """Two features of the training rows, stored once: grids and curves read them several times."""
+    pair, _ = materialize(_exact(spark, sf_dir).select(KEY, "T_data_3_1", "H_data"), "pair")
+    return holdout(pair, KEY)[0]
 
 
 def pdp_1d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
