@@ -95,8 +95,7 @@ def boost_estimator(
 def fit(estimator, train: DataFrame, columns: list[str], target: str = "quality") -> PipelineModel:
     """Assemble the features and fit; only features and target enter the fit."""
     stage = assembler(columns)
-    assembled = stage.transform(train.select(*columns, target)).select(FEATURES, target)
-    return PipelineModel([stage, estimator.fit(assembled)])
+    return PipelineModel([stage, estimator.fit(stage.transform(train.select(*columns, target)))])
 
 
 def predict(model: Transformer, df: DataFrame, key: str = "date_time", target: str = "quality") -> DataFrame:

@@ -7,11 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.feature import VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from chamberlens.operators.metrics import regression_metrics
+from chamberlens.operators.metrics import METRICS, regression_metrics, union_all
 from chamberlens.operators.models import FEATURES, assembler
+from chamberlens.operators.sample import folds
 
 
 def cumulative_selection(
@@ -21,31 +22,48 @@ def cumulative_selection(
     estimator: Estimator,
     target: str = "quality",
     parallelism: int = 2,
+    select_on: str = "test",
+    key: str = "date_time",
+    k: int = 5,
 ) -> DataFrame:
     """(n_vars, last_variable, r2, mae, rmse) of a model on the first n ranked variables.
 
     The vectors are assembled once in rank order; each fit takes a prefix of them.
-    The fits are separate Spark jobs, submitted from a few driver threads.
+    The fits are separate Spark jobs, submitted from a few driver threads. With
+    ``select_on="cv"`` the scores are means over k folds of ``train``, and ``test``
+    stays unseen until a size is chosen.
     """
+    if select_on not in ("test", "cv"):
+        raise ValueError("select_on must be 'test' or 'cv'")
+    spark = train.sparkSession
     stage = assembler(ranked).setOutputCol("ranked")
+    if select_on == "cv":
+        frames = [folds(train.select(*dict.fromkeys([*ranked, target, key])), key, k)]
+    else:
+        frames = [train, test]
     ready = [
-        stage.transform(f.select(*ranked, target)).select("ranked", target).persist(StorageLevel.MEMORY_AND_DISK)
-        for f in (train, test)
+        stage.transform(f).select("ranked", target, *[c for c in f.columns if c == "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+        for f in frames
     ]
+    if select_on == "cv":
+        rounds = [(ready[0].where(F.col("fold") != i), ready[0].where(F.col("fold") == i)) for i in range(k)]
+    else:
+        rounds = [(ready[0], ready[1])]
 
+    @inheritable_thread_target(spark)
     def score(n: int) -> tuple:
         prefix = VectorSlicer(inputCol="ranked", outputCol=FEATURES, indices=list(range(n)))
-        model = estimator.fit(prefix.transform(ready[0]))
-        scored = model.transform(prefix.transform(ready[1]))
-        r = regression_metrics(scored, target, "yhat").first()
-        return n, ranked[n - 1], r["r2"], r["mae"], r["rmse"]
+        scores = []
+        for fitting, held in rounds:
+            model = estimator.fit(prefix.transform(fitting).select(FEATURES, target))
+            scores.append(regression_metrics(model.transform(prefix.transform(held)), target, "yhat"))
+        means = union_all(scores).agg(*[F.avg(m).alias(m) for m in METRICS]).first()
+        return n, ranked[n - 1], *(means[m] for m in METRICS)
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(inheritable_thread_target(score), range(1, len(ranked) + 1)))
+            rows = list(pool.map(score, range(1, len(ranked) + 1)))
     finally:
         for frame in ready:
             frame.unpersist()
-    return train.sparkSession.createDataFrame(
-        rows, "n_vars int, last_variable string, r2 double, mae double, rmse double"
-    ).orderBy("n_vars")
+    return spark.createDataFrame(rows, "n_vars int, last_variable string, r2 double, mae double, rmse double").orderBy("n_vars")

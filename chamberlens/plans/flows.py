@@ -12,9 +12,10 @@ from pyspark.storagelevel import StorageLevel
 from chamberlens.functions.columns import numeric_columns
 from chamberlens.operators.align import exact_join, hourly_join, shift_time
 from chamberlens.operators.clean import clean_sensors, normalize, parse_time
-from chamberlens.operators.metrics import compare_alignments, regression_metrics
+from chamberlens.operators.metrics import compare_alignments, compare_models, regression_metrics
 from chamberlens.operators.models import fit, predict
 from chamberlens.operators.sample import holdout
+from chamberlens.operators.search import random_search
 
 KEY, TARGET = "date_time", "quality"
 
@@ -67,3 +68,25 @@ def alignment_comparison(x: DataFrame, y: DataFrame, estimator_of: Callable[[],
             row = scored.collect()  # one row of metrics
         scores[label] = (x.sparkSession.createDataFrame(row, scored.schema), n)
     return compare_alignments(scores)
+
+
+def tuning_comparison(
+    aligned: DataFrame,
+    estimator: Estimator,
+    param_maps: list[dict],
+    columns: list[str] | None = None,
+    k: int = 5,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """(tuned model, gain table, draws): the estimator as given against the best draw.
+
+    Both are scored on the same hold-out, which the search does not see.
+    """
+    columns = columns or numeric_columns(aligned, (KEY, TARGET))
+    train, test = holdout(aligned, KEY)
+    base = fit(estimator, train, columns, TARGET)
+    tuned, draws = random_search(train, estimator, param_maps, columns, KEY, TARGET, k)
+    scores = {}
+    for name, model in (("base", base), ("tuned", tuned)):
+        scored = regression_metrics(predict(model, test, KEY, TARGET))
+        scores[name] = aligned.sparkSession.createDataFrame(scored.collect(), scored.schema)  # one row of metrics
+    return tuned, compare_models(scores, "base", "tuned"), draws

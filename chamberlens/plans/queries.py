@@ -49,6 +49,7 @@ from chamberlens.plans.flows import (
     fitted,
     kept,
     prepare,
+    tuning_comparison,
 )
 from chamberlens.session import materialize, scratch_path
 from chamberlens.sources.event_sensors import sensor_and_quality
@@ -373,6 +374,14 @@ def random_search_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
         return random_search(train, estimator, draws, SELECTED, k=2)[1]
 
 
+def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    estimator = forest_estimator(TARGET, trees=2, depth=2)
+    grid = _small(FOREST_GRID, n_estimators=[4, 5], max_depth=[5, 6])
+    with kept(_exact(spark, sf_dir)) as aligned:
+        draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
+        return tuning_comparison(aligned, estimator, draws, SELECTED, k=2)[1]
+
+
 def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sensors, quality = prepare(*sensor_and_quality(spark, sf_dir))
     return scan_counts({"exact": exact_join(sensors, quality), "hourly": hourly_join(sensors, quality)})
@@ -478,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "cumulative_selection": cumulative_selection_query,
     "random_search_forest": random_search_forest,
     "random_search_boost": random_search_boost,
+    "tuning_comparison": tuning_comparison_query,
     "alignment_sizes": alignment_sizes,
     "alignment_comparison": alignment_comparison_query,
     "pdp_1d": pdp_1d_query,

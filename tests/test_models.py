@@ -14,7 +14,7 @@ from chamberlens.operators.models import assembler, boost_estimator, fit, forest
 from chamberlens.operators.rank import coefficients, feature_importance, pareto
 from chamberlens.operators.search import BOOST_GRID, FOREST_GRID, boost_params, draw_params, forest_params, random_search
 from chamberlens.operators.select import cumulative_selection
-from chamberlens.plans.flows import aligned_exact, alignment_comparison
+from chamberlens.plans.flows import aligned_exact, alignment_comparison, tuning_comparison
 from chamberlens.operators.sample import holdout
 from chamberlens.session import discard
 from chamberlens.sources.event_sensors import sensor_and_quality
@@ -235,6 +235,27 @@ def test_selection_adds_variables_in_order(table):
     assert result[1].r2 > result[0].r2
 
 
+def test_selection_by_folds_leaves_the_test_rows_alone(table):
+    forest = forest_estimator(trees=3, depth=4)
+    result = cumulative_selection(table, None, ["a", "b"], forest, select_on="cv", k=2).collect()
+    assert [r.n_vars for r in result] == [1, 2] and result[1].r2 > result[0].r2
+    with pytest.raises(ValueError):
+        cumulative_selection(table, table, ["a"], forest, select_on="train")
+
+
+def test_tuning_reports_the_gain(table):
+    for estimator, better in (
+        (forest_estimator(trees=2, depth=1), lambda e: {e.numTrees: 3, e.maxDepth: 5}),
+        (RegularizedBoosting(inputCols=COLUMNS, rounds=1, depth=1, rate=0.1), lambda e: {e.rounds: 3, e.depth: 2, e.rate: 0.8}),
+    ):
+        tuned, gains, draws = tuning_comparison(table, estimator, [better(estimator)], COLUMNS, k=2)
+        rows = {r.metric: r for r in gains.collect()}
+        assert set(rows) == {"r2", "mae", "rmse"} and draws.count() == 1
+        assert rows["r2"].gain > 0 > rows["rmse"].gain
+        assert rows["r2"].gain == pytest.approx(rows["r2"].tuned - rows["r2"].base)
+        assert sum(feature_importance(tuned.stages[-1], COLUMNS).toPandas().importance) == pytest.approx(1.0)
+
+
 def test_both_alignments_are_scored(spark, small):
     x, y = sensor_and_quality(spark, small)
     rows = {r.alignment: r for r in alignment_comparison(x, y, lambda: forest_estimator(trees=2, depth=3)).collect()}
