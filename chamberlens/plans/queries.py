@@ -47,7 +47,6 @@ from chamberlens.plans.flows import (
     aligned_hourly,
     alignment_comparison,
     fitted,
-    kept,
     prepare,
     tuning_comparison,
 )
@@ -81,6 +80,12 @@ def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_exact(*sensor_and_quality(spark, sf_dir))
 
 
+def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The exact join written once to the shared folder, for queries that read it many times."""
+    aligned = _exact(spark, sf_dir)
+    return materialize(aligned.select(*columns) if columns else aligned, "aligned")[0]
+
+
 def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left_align(*prepare(*sensor_and_quality(spark, sf_dir)))
 
@@ -209,11 +214,11 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holdout_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _labelled(*holdout(_exact(spark, sf_dir), KEY))
+    return _labelled(*holdout(_stored(spark, sf_dir, KEY), KEY))
 
 
 def fold_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds(_exact(spark, sf_dir), KEY).select(KEY, "fold")
+    return folds(_stored(spark, sf_dir, KEY), KEY)
 
 
 # --- models ------------------------------------------------------------------
@@ -224,60 +229,60 @@ def _features(aligned: DataFrame) -> list[str]:
 
 
 def standardize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _exact(spark, sf_dir)
+    aligned = _stored(spark, sf_dir)
     train, test = holdout(aligned, KEY)
     return rounded(standardize(train, _features(aligned), test)[1])
 
 
 def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["T_data_3_1", "H_data"]
-    with kept(_exact(spark, sf_dir).select(KEY, *columns, TARGET)) as aligned:
-        train, _ = holdout(aligned, KEY)
-        model = fit(linear_estimator(TARGET), standardize(train, columns)[0], columns).stages[-1]
+    aligned = _stored(spark, sf_dir, KEY, *columns, TARGET)
+    train, _ = holdout(aligned, KEY)
+    model = fit(linear_estimator(TARGET), standardize(train, columns)[0], columns).stages[-1]
     return rounded(coefficients(model, columns))
 
 
 def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        columns = _features(aligned)
-        train, test = holdout(aligned, KEY)
-        train, test = standardize(train, columns, test)
-        model = fit(linear_estimator(TARGET), train, columns)
+    aligned = _stored(spark, sf_dir)
+    columns = _features(aligned)
+    train, test = holdout(aligned, KEY)
+    train, test = standardize(train, columns, test)
+    model = fit(linear_estimator(TARGET), train, columns)
     return regression_metrics(predict(model, test), model="linear")
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        return fitted(aligned, forest_estimator(TARGET, trees=10, depth=6))[1]
+    aligned = _stored(spark, sf_dir)
+    return fitted(aligned, forest_estimator(TARGET, trees=10, depth=6))[1]
 
 
 def boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        return fitted(aligned, boost_estimator(TARGET, rounds=5, depth=3), SELECTED)[1]
+    aligned = _stored(spark, sf_dir)
+    return fitted(aligned, boost_estimator(TARGET, rounds=5, depth=3), SELECTED)[1]
 
 
 def reg_boost_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        train, test = holdout(aligned, KEY)
-        stump = RegularizedBoosting(
-            inputCols=_features(aligned), labelCol=TARGET, rounds=1, depth=1, rate=0.3, subsample=1.0, colsample=1.0,
-            lam=1.0, alpha=0.5,
-        )
-        model = stump.fit(train)
-        return rounded(model.transform(test).select(KEY, "yhat"))
+    aligned = _stored(spark, sf_dir)
+    train, test = holdout(aligned, KEY)
+    stump = RegularizedBoosting(
+        inputCols=_features(aligned), labelCol=TARGET, rounds=1, depth=1, rate=0.3, subsample=1.0, colsample=1.0,
+        lam=1.0, alpha=0.5,
+    )
+    model = stump.fit(train)
+    return rounded(model.transform(test).select(KEY, "yhat"))
 
 
 def reg_boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        train, test = holdout(aligned, KEY)
-        model = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET, rounds=6, depth=3, rate=0.3).fit(train)
-        return predict(model, test)
+    aligned = _stored(spark, sf_dir)
+    train, test = holdout(aligned, KEY)
+    model = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET, rounds=6, depth=3, rate=0.3).fit(train)
+    return predict(model, test)
 
 
 def feature_importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        columns = _features(aligned)
-        model, _ = fitted(aligned, forest_estimator(TARGET, trees=10, depth=6), columns)
+    aligned = _stored(spark, sf_dir)
+    columns = _features(aligned)
+    model, _ = fitted(aligned, forest_estimator(TARGET, trees=10, depth=6), columns)
     return pareto(feature_importance(model.stages[-1], columns))
 
 
@@ -344,12 +349,12 @@ def selection_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cumulative_selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        train, test = holdout(aligned, KEY)
-        columns = ["T_data_3_1", "T_data_3_2", "T_data_3_3", "H_data"]
-        full = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
-        ranked = [r["variable"] for r in feature_importance(full, columns).collect()]  # one row per variable
-        return cumulative_selection(train, test, ranked, forest_estimator(TARGET, trees=5, depth=5))
+    aligned = _stored(spark, sf_dir)
+    train, test = holdout(aligned, KEY)
+    columns = ["T_data_3_1", "T_data_3_2", "T_data_3_3", "H_data"]
+    full = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
+    ranked = [r["variable"] for r in feature_importance(full, columns).collect()]  # one row per variable
+    return cumulative_selection(train, test, ranked, forest_estimator(TARGET, trees=5, depth=5))
 
 
 def _small(grid: dict[str, list], **limits) -> dict[str, list]:
@@ -359,27 +364,27 @@ def _small(grid: dict[str, list], **limits) -> dict[str, list]:
 def random_search_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = _small(FOREST_GRID, n_estimators=[3, 5], max_depth=[3, 5])
     estimator = forest_estimator(TARGET)
-    with kept(_exact(spark, sf_dir)) as aligned:
-        train, _ = holdout(aligned, KEY)
-        draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
-        return random_search(train, estimator, draws, SELECTED, k=2)[1]
+    aligned = _stored(spark, sf_dir)
+    train, _ = holdout(aligned, KEY)
+    draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
+    return random_search(train, estimator, draws, SELECTED, k=2)[1]
 
 
 def random_search_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = _small(BOOST_GRID, n_estimators=[2, 3], max_depth=[2])
     estimator = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET)
-    with kept(_exact(spark, sf_dir)) as aligned:
-        train, _ = holdout(aligned, KEY)
-        draws = [boost_params(estimator, d) for d in draw_params(grid, 2)]
-        return random_search(train, estimator, draws, SELECTED, k=2)[1]
+    aligned = _stored(spark, sf_dir)
+    train, _ = holdout(aligned, KEY)
+    draws = [boost_params(estimator, d) for d in draw_params(grid, 2)]
+    return random_search(train, estimator, draws, SELECTED, k=2)[1]
 
 
 def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimator = forest_estimator(TARGET, trees=2, depth=2)
     grid = _small(FOREST_GRID, n_estimators=[4, 5], max_depth=[5, 6])
-    with kept(_exact(spark, sf_dir)) as aligned:
-        draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
-        return tuning_comparison(aligned, estimator, draws, SELECTED, k=2)[1]
+    aligned = _stored(spark, sf_dir)
+    draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
+    return tuning_comparison(aligned, estimator, draws, SELECTED, k=2)[1]
 
 
 def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,8 +407,7 @@ def _formula(df: DataFrame) -> DataFrame:
 
 def _training_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two features of the training rows, stored once: grids and curves read them several times."""
-    pair, _ = materialize(_exact(spark, sf_dir).select(KEY, "T_data_3_1", "H_data"), "pair")
-    return holdout(pair, KEY)[0]
+    return holdout(_stored(spark, sf_dir, KEY, "T_data_3_1", "H_data"), KEY)[0]
 
 
 def pdp_1d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,11 +421,11 @@ def pdp_2d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with kept(_exact(spark, sf_dir)) as aligned:
-        columns = _features(aligned)
-        train, _ = holdout(aligned, KEY)
-        forest = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
-        points = grid_values(train, columns, grid=20)
+    aligned = _stored(spark, sf_dir)
+    columns = _features(aligned)
+    train, _ = holdout(aligned, KEY)
+    forest = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
+    points = grid_values(train, columns, grid=20)
     grids = {(c,): [(v,) for v in values] for c, values in points.items()}
     pair = ("T_data_3_1", "H_data")
     grids[pair] = [(a, b) for a in points[pair[0]] for b in points[pair[1]]]
