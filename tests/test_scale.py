@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chamberlens.functions.ranks import order_statistics, quantiles
-from chamberlens.operators.align import exact_join, hourly_join, left_align
+from chamberlens.operators.align import exact_join, hourly_features, hourly_join, left_align
 from chamberlens.operators.clean import clean_sensors
 from chamberlens.operators.explain import grid_values
 from chamberlens.operators.sample import folds, holdout
@@ -185,14 +185,17 @@ def test_gap_filter_reaches_the_scan(spark, small, tmp_path):
     assert "IsNotNull(H_data)" in plan and "IsNotNull(T_data_5_3)" in plan
 
 
-def test_cleaning_stays_below_the_jvm_compile_limit(spark, small, tmp_path):
+def test_cleaning_stays_below_the_jvm_compile_limit(spark, conf, small, tmp_path):
     import re
 
     x, _ = sensor_and_quality(spark, small)
     x.write.parquet(str(tmp_path / "x"))
     cleaned = clean_sensors(spark.read.parquet(str(tmp_path / "x")))
-    text = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(cleaned._jdf.queryExecution().executedPlan())
-    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
+    conf("spark.sql.adaptive.enabled", "false")
+    for planned in (cleaned.select("*"), hourly_features(cleaned)):
+        plan = planned._jdf.queryExecution().executedPlan()
+        text = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
 
 
 def test_scratch_follows_the_session(spark):
