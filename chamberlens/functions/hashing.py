@@ -6,6 +6,8 @@ repartitioning or retry, unlike ``rand`` or ``randomSplit``.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, functions as F
 
 
@@ -25,6 +27,13 @@ def hash_bucket(keys: list[str], seed: str | int | None, buckets: int = 100) ->
     return hex_number(key_digest(keys, seed), 8) % buckets
 
 
+def in_share(keys: list[str], seed: str | int | None, share: float) -> Column:
+    """True for ``share`` of the keys: whole per cents by bucket, the rest by further digits."""
+    whole, rest = divmod(Fraction(str(share)) * 100, 1)
+    bucket, finer = hash_bucket(keys, seed), F.conv(F.substring(key_digest(keys, seed), 9, 13), 16, 10).cast("bigint")
+    return (bucket < int(whole)) | ((bucket == int(whole)) & (finer < int(rest * 2**52)))
+
+
 def hash_position(keys: list[str], seed: str | int | None) -> Column:
     """Position below 2**52, so that a double holds it exactly."""
     return hex_number(key_digest(keys, seed), 13)

@@ -5,14 +5,17 @@ aggregation buffer, which grows with the data. Here each pass counts values into
 equal-width slices of the interval that still holds the wanted rank; counting
 combines on the map side, and the driver sees a fixed number of slices. The next
 pass looks only inside the one slice that holds the rank, until that slice holds
-a single value. Repeated values share a slice, so they cost nothing extra.
+a single value. Where most rows fall into one slice, or the interval is wider than
+a double can say, the next slices are of equal width in the logarithm, so values of
+any magnitude take a few passes. Repeated values share a slice, so they cost nothing
+extra; infinite values are counted apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from math import ceil, floor
+from math import ceil, floor, inf, isinf, log
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,6 +39,21 @@ class _Span:
     high: float
     below: int
     inside: int
+    crowded: bool = False
+
+    @property
+    def by_magnitude(self) -> bool:
+        """Slice the logarithm: the width overflows, or the last equal slices told little."""
+        return isinf(self.high - self.low) or (self.crowded and _magnitude(self.high) - _magnitude(self.low) > 1)
+
+
+def _magnitude(v: float) -> float:
+    """Rising with v over all finite doubles; the smallest one's logarithm is above -745."""
+    return log(v) + 746 if v > 0 else -(log(-v) + 746) if v < 0 else 0.0
+
+
+def _magnitude_sql(v: str) -> str:
+    return f"CASE WHEN {v} > 0 THEN ln({v}) + 746D WHEN {v} < 0 THEN -(ln(-{v}) + 746D) ELSE 0D END"
 
 
 def order_statistics(
@@ -50,25 +68,34 @@ def order_statistics(
     """
     number = quoted(weight) if weight else "1L"
     values = {c: f"CAST({quoted(c)} AS DOUBLE)" for c in columns}
+    def tests(v: str) -> dict[str, str]:
+        return {"finite": f"abs({v}) < double('inf')", "low": f"{v} = double('-inf')", "high": f"{v} = double('inf')"}
+
     first = df.selectExpr(
         *[
-            f"struct(min({v}) FILTER (WHERE NOT isnan({v})), max({v}) FILTER (WHERE NOT isnan({v})), "
-            f"sum({number}) FILTER (WHERE {v} IS NOT NULL AND NOT isnan({v}))) AS c{i}"
-            for i, v in enumerate(values.values())
+            f"struct(min({v}) FILTER (WHERE {t['finite']}) AS low, max({v}) FILTER (WHERE {t['finite']}) AS high, "
+            + ", ".join(f"coalesce(sum({number}) FILTER (WHERE {t[k]}), 0) AS n_{k}" for k in t)
+            + f") AS c{i}"
+            for i, (v, t) in enumerate((v, tests(v)) for v in values.values())
         ]
     ).first()
 
     found: dict[str, dict[int, Hit]] = {c: {} for c in columns}
     open_spans: dict[str, dict[int, _Span]] = {}
     for i, c in enumerate(columns):
-        low, high, n = first[f"c{i}"]
+        low, high, finite, n_low, n_high = first[f"c{i}"]
+        n = finite + n_low + n_high
         if not n:
             continue
-        whole = _Span(low, high, 0, n)
         for rank in ranks_of(c, n):
             if not 1 <= rank <= n:
                 raise ValueError(f"rank {rank} outside 1..{n} for {c}")
-            _settle(found, open_spans, c, rank, whole)
+            if rank <= n_low:
+                found[c][rank] = Hit(-inf, 0, n_low)
+            elif rank > n - n_high:
+                found[c][rank] = Hit(inf, n - n_high, n_high)
+            else:
+                _settle(found, open_spans, c, rank, _Span(low, high, n_low, finite))
 
     while any(open_spans.values()):
         spans = {c: sorted({s for s in r.values()}, key=lambda s: s.low) for c, r in open_spans.items() if r}
@@ -79,7 +106,9 @@ def order_statistics(
                 for low, high, n in tallies[(c, span)]:
                     if passed + n >= rank:
                         del wanted[rank]
-                        _settle(found, open_spans, c, rank, _Span(low, high, passed, n))
+                        if (low, high) == (span.low, span.high):
+                            raise RuntimeError(f"no progress between {low} and {high} for {c}")
+                        _settle(found, open_spans, c, rank, _Span(low, high, passed, n, 64 * n > span.inside))
                         break
                     passed += n
     return found
@@ -109,8 +138,12 @@ def _slice_counts(df, values, number, spans):
             low, high = _exact(span.low), _exact(span.high)
             near.append(f"{v} BETWEEN {low} AND {high}")
             slot.append(f"WHEN {v} BETWEEN {low} AND {high} THEN {len(slots)}")
-            cut = f"CAST(floor(({v} - {low}) / ({high} - {low}) * {slices}) AS INT)"
-            place.append(f"WHEN {v} BETWEEN {low} AND {high} THEN least({cut}, {slices - 1})")
+            if span.by_magnitude:
+                start, stop = _magnitude(span.low), _magnitude(span.high)
+                cut = f"CAST(floor((({_magnitude_sql(v)}) - {start!r}D) / {stop - start!r}D * {slices}) AS INT)"
+            else:
+                cut = f"CAST(floor(({v} - {low}) / ({high} - {low}) * {slices}) AS INT)"
+            place.append(f"WHEN {v} BETWEEN {low} AND {high} THEN greatest(least({cut}, {slices - 1}), 0)")
             slots.append((c, span))
         entries.append(f"struct(CASE {' '.join(slot)} END AS slot, CASE {' '.join(place)} END AS slice, {v} AS value)")
     rows = (

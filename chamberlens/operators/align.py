@@ -36,14 +36,15 @@ def exact_join(x: DataFrame, y: DataFrame, on: str = "date_time") -> DataFrame:
 def left_align(x: DataFrame, y: DataFrame, on: str = "date_time") -> DataFrame:
     """Keep every sensor row, target null where there is no measurement.
 
-    Repeated measurement times would multiply sensor rows, so they raise. The
-    check is a scalar subquery over the keys of ``y``, evaluated with the join.
+    Repeated measurement times would multiply sensor rows, so they raise. The check is a
+    scalar subquery over the keys of ``y`` and part of the join key: no choice of columns,
+    not even a count, can leave it out.
     """
     _refuse_shared_names(x, y, on)
     repeated = y.where(F.col(on).isNotNull()).groupBy(on).count().where("count > 1").agg(F.count("*").alias("repeated"))
     refusal = f"raise_error({text(f'left_align: repeated values of {on} on the right side')})"
-    guards = {c: f"CASE WHEN _facts.repeated > 0 THEN {refusal} ELSE {quoted(c)} END" for c in y.columns if c != on}
-    guarded = rewritten(with_facts(y, repeated), guards).drop("_facts")
+    guard = {on: f"CASE WHEN _facts.repeated > 0 THEN {refusal} ELSE {quoted(on)} END"}
+    guarded = rewritten(with_facts(y, repeated), guard).drop("_facts")
     return x.join(guarded, on, "left")
 
 

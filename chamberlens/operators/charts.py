@@ -9,6 +9,8 @@ from chamberlens.functions.columns import with_facts
 # Chart margin and number of residual bins.
 MARGIN = 2
 BINS = 40
+# Chart limits that hold whatever the data.
+FIXED_LIMITS = {"scatter": (-5.0, 105.0), "scale": (0.0, 100.0)}
 
 
 def actual_vs_predicted(df: DataFrame, key: str = "date_time", y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -24,6 +26,20 @@ def axis_limits(df: DataFrame, y: str = "y", yhat: str = "yhat", margin: float =
     )
 
 
+def outside_limits(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
+    """(chart, low, high, n_outside): the fixed limits and the points that a chart with them would not show."""
+    rows = [
+        F.struct(
+            F.lit(chart).alias("chart"),
+            F.lit(low).alias("low"),
+            F.lit(high).alias("high"),
+            F.count_if(~(F.col(y).between(low, high) & F.col(yhat).between(low, high))).alias("n_outside"),
+        )
+        for chart, (low, high) in FIXED_LIMITS.items()
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def residual_histogram(df: DataFrame, y: str = "y", yhat: str = "yhat", bins: int = BINS) -> DataFrame:
     """Equal-width histogram of the residuals as (bin, lo, hi, n), empty bins included.
 
@@ -52,9 +68,10 @@ def residual_histogram(df: DataFrame, y: str = "y", yhat: str = "yhat", bins: in
 
 
 def prediction_examples(df: DataFrame, key: str = "date_time", y: str = "y", yhat: str = "yhat", n: int = 5) -> DataFrame:
-    """The first n rows by key: actual, predicted and gap, the latter two to one decimal (half to even)."""
+    """The first n rows by key, then by the other values: actual, predicted and gap, the
+    latter two to one decimal (half to even)."""
     return (
-        df.orderBy(key)
+        df.orderBy(key, y, yhat)
         .limit(n)
         .select(
             key,

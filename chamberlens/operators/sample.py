@@ -7,7 +7,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chamberlens.functions.hashing import hash_bucket, hash_position, row_position
+from chamberlens.functions.hashing import hash_position, in_share, row_position
 from chamberlens.functions.ranks import even_sizes, holdout_size, order_statistics
 
 COPIES_PER_TASK = 100_000
@@ -16,10 +16,10 @@ COPIES_PER_TASK = 100_000
 def holdout(
     df: DataFrame, key: str, frac: float = 0.2, seed: int | None = 42, exact: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test). ``exact`` puts ceil(frac * n) rows into test; otherwise each
-    key goes there with probability ``frac``, which needs no pass over the data."""
+    """(train, test). ``exact`` puts ceil(frac * n) rows into test and runs jobs when called;
+    otherwise each key goes there with probability ``frac``, without a pass over the data."""
     if not exact:
-        in_test = hash_bucket([key], seed) < round(frac * 100)
+        in_test = in_share([key], seed, frac)
         return df.where(~in_test), df.where(in_test)
 
     def sizes(n: int) -> list[int]:
@@ -31,7 +31,7 @@ def holdout(
 
 
 def folds(df: DataFrame, key: str, k: int = 5, seed: int | None = 42, name: str = "fold") -> DataFrame:
-    """Add the fold number 0..k-1; fold sizes differ by at most one row."""
+    """Add the fold number 0..k-1; fold sizes differ by at most one row. Runs jobs when called."""
     label = None if seed is None else f"fold-{seed}"
     return segments(df, key, lambda n: even_sizes(n, k), label, name)
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from chamberlens.functions.columns import nan_as_null, numeric_columns, quoted, share_of, text
 from chamberlens.functions.ranks import quantiles
+from chamberlens.session import stored
 
 # Below this share of the raw second moment a central moment is rounding noise.
 ROUNDING = 1e-12
@@ -47,16 +48,16 @@ def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows, means and central moments of every pair (i <= j), over rows where both are present.
 
     Each task turns its rows into one small table by matrix products; p(p-1)/2 SQL
-    aggregates outgrow generated code already at p = 17. The tables merge around a
-    common origin, so a constant column keeps a moment of exactly zero.
+    aggregates outgrow generated code already at p = 17. The tables, stored when called,
+    merge around a common origin, so a constant column keeps a moment of exactly zero.
     """
-    parts = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)]).mapInArrow(
+    tables = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)]).mapInArrow(
         _task_moments, "i int, j int, n double, mean_i double, mean_j double, m_ii double, m_jj double, m_ij double"
     )
-    pair = Window.partitionBy("i", "j")
-    offset = parts.withColumns(
-        {"o_i": F.min("mean_i").over(pair), "o_j": F.min("mean_j").over(pair)}
-    ).withColumns({"d_i": F.col("mean_i") - F.col("o_i"), "d_j": F.col("mean_j") - F.col("o_j")})
+    parts = stored(tables)
+    # one origin per pair; minima and sums combine on the map side, so no pair's tables are gathered
+    origins = parts.groupBy("i", "j").agg(F.min("mean_i").alias("o_i"), F.min("mean_j").alias("o_j"))
+    offset = parts.join(origins, ["i", "j"]).withColumns({"d_i": F.col("mean_i") - F.col("o_i"), "d_j": F.col("mean_j") - F.col("o_j")})
     n, s_i, s_j = F.sum("n"), F.sum(F.expr("n * d_i")), F.sum(F.expr("n * d_j"))
     raw_ii = F.sum(F.expr("m_ii + n * d_i * d_i"))
     raw_jj = F.sum(F.expr("m_jj + n * d_j * d_j"))
@@ -154,5 +155,5 @@ def top_correlated(correlation: DataFrame, target: str = "quality", n: int = 10)
 
 
 def first_rows(df: DataFrame, on: str = "date_time", n: int = 10) -> DataFrame:
-    """The first n rows in time order; planned as a top-n, not a sort."""
-    return df.orderBy(on).limit(n)
+    """The first n rows in time order, ties by the other columns; planned as a top-n, not a sort."""
+    return df.orderBy(on, *[c for c in df.columns if c != on]).limit(n)

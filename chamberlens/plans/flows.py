@@ -66,7 +66,8 @@ def alignment_comparison(x: DataFrame, y: DataFrame, estimator_of: Callable[[],
         with kept(aligned) as held:
             scored, n = evaluate(held, estimator_of(), label)
             row = scored.collect()  # one row of metrics
-        scores[label] = (x.sparkSession.createDataFrame(row, scored.schema), n)
+            rows = held.count()
+        scores[label] = (x.sparkSession.createDataFrame(row, scored.schema), n, rows)
     return compare_alignments(scores)
 
 

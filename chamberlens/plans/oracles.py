@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from chamberlens.plans.queries import DIGITS, LINEITEM_COLUMNS, PROBE_COLUMNS, SELECTED
+from chamberlens.operators.charts import FIXED_LIMITS
 from chamberlens.operators.clean import TRIPLETS
 from chamberlens.sources.event_sensors import quality_sql, sensor_sql
 
@@ -100,8 +103,6 @@ def _scores(source: str) -> str:
 
 def _needs(body: str) -> list[str]:
     """The steps a query mentions, directly or through other steps, in order."""
-    import re
-
     wanted: set[str] = set()
     waiting = [body]
     while waiting:
@@ -203,6 +204,52 @@ def _linear_fit() -> str:
     )
 
 
+def _least_squares(columns: list[str], counts: list[int]) -> dict[str, str]:
+    """Steps ``linear_<n>`` (date_time, y, yhat): the test rows under least squares on the
+    first n columns, for every n wanted.
+
+    The normal equations in long form, a row per cell with the target as column -1,
+    computed in one scan and eliminated column by column.
+    """
+    names = [*columns, "quality"]
+    cells = ", ".join(
+        f"{{'i': {i}, 'j': {j if j < len(columns) else -1}, 'v': covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))}}"
+        for i, a in enumerate(columns)
+        for j, b in enumerate(names)
+    )
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{i}" for i, c in enumerate(names))
+    steps = {
+        "cell": f"SELECT unnest([{cells}], recursive := true) FROM train",
+        "means": f"SELECT {means} FROM train",
+    }
+    for n in counts:
+        steps[f"s{n}_0"] = f"SELECT i, j, v FROM cell WHERE i < {n} AND j < {n}"
+        for k in range(n):
+            steps[f"s{n}_{k + 1}"] = (
+                f"SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - r.v * c.v / p.v END AS v FROM s{n}_{k} a "
+                f"JOIN s{n}_{k} r ON r.i = a.i AND r.j = {k} JOIN s{n}_{k} c ON c.i = {k} AND c.j = a.j "
+                f"JOIN s{n}_{k} p ON p.i = {k} AND p.j = {k}"
+            )
+        betas = ", ".join(f"max(v) FILTER (WHERE i = {i}) AS beta_{i}" for i in range(n))
+        terms = " + ".join(f"beta_{i} * (CAST({c} AS DOUBLE) - mean_{i})" for i, c in enumerate(columns[:n]))
+        steps[f"betas_{n}"] = f"SELECT {betas} FROM s{n}_{n} WHERE j = -1"
+        steps[f"linear_{n}"] = f"SELECT date_time, quality AS y, mean_{len(columns)} + {terms} AS yhat FROM test, betas_{n}, means"
+    return steps
+
+
+def _least_squares_sql(body: str, columns: list[str], counts: list[int]) -> str:
+    """Each elimination step is read four times, so it is computed once."""
+    return re.sub(r"\b(cell|means|s\d+_\d+) AS \(", r"\1 AS MATERIALIZED (", _sql(body, **_least_squares(columns, counts)))
+
+
+def _linear_selection(body: str) -> str:
+    """``body`` over ``selected``: scores of least squares on the first n features by name."""
+    ordered = sorted(FEATURES)
+    counts = list(range(1, len(ordered) + 1))
+    rows = " UNION ALL ".join(f"SELECT {n} AS n_vars, '{ordered[n - 1]}' AS last_variable, {_scores(f'linear_{n}')}" for n in counts)
+    return _least_squares_sql(body.format(selected=f"({rows})"), ordered, counts)
+
+
 def _standardized() -> str:
     scaled = ", ".join(
         f"{_r(f'({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train)')} AS {c}" for c in FEATURES
@@ -290,12 +337,35 @@ ORACLES: dict[str, str] = {
         "SELECT date_time, CASE WHEN CAST(('0x' || substr(md5(CAST(date_time AS VARCHAR) || '|42'), 1, 8)) AS UBIGINT) % 100 < 20 "
         "THEN 'test' ELSE 'train' END AS part FROM aligned"
     ),
+    "holdout_fraction": _sql(
+        "SELECT date_time, CASE WHEN bucket < 1 OR (bucket = 1 AND finer < 2251799813685248) THEN 'test' ELSE 'train' END AS part FROM "
+        "(SELECT date_time, CAST(('0x' || substr(md5(CAST(date_time AS VARCHAR) || '|42'), 1, 8)) AS UBIGINT) % 100 AS bucket, "
+        "CAST(('0x' || substr(md5(CAST(date_time AS VARCHAR) || '|42'), 9, 13)) AS UBIGINT) AS finer FROM aligned)"
+    ),
+    "left_align_counts": _sql(
+        "SELECT (SELECT count(*) FROM clean) AS n_sensors, count(*) AS n_aligned, "
+        "CAST(sum(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_without FROM lefted"
+    ),
     "holdout_split_exact": _sql("SELECT date_time, 'train' AS part FROM train UNION ALL SELECT date_time, 'test' FROM test"),
     "fold_assignment": _sql(
         f"SELECT date_time, CAST(ntile(5) OVER (ORDER BY {_position('fold-42')}) - 1 AS INTEGER) AS fold FROM aligned"
     ),
     "standardize": _standardized(),
     "linear_fit": _linear_fit(),
+    "linear_predictions": _least_squares_sql(
+        f"SELECT date_time, {_r('y')} AS y, {_r('yhat')} AS yhat FROM linear_{len(FEATURES)}", FEATURES, [len(FEATURES)]
+    ),
+    "linear_metrics": _least_squares_sql(
+        f"SELECT 'linear' AS model, n, {_rounded(['r2', 'mae', 'rmse'])} FROM (SELECT count(*) AS n, {_scores(f'linear_{len(FEATURES)}')})",
+        FEATURES,
+        [len(FEATURES)],
+    ),
+    "fitted_examples": _least_squares_sql(
+        "SELECT date_time, y AS actual, round_even(yhat, 1) AS predicted, round_even(y - yhat, 1) AS gap "
+        f"FROM linear_{len(FEATURES)} ORDER BY date_time LIMIT 5",
+        FEATURES,
+        [len(FEATURES)],
+    ),
     "reg_boost_stump": _stump(),
     "regression_metrics": _sql(
         f"SELECT 'line' AS model, n, {_rounded(['r2', 'mae', 'rmse'])} FROM scored",
@@ -308,6 +378,13 @@ ORACLES: dict[str, str] = {
     "axis_limits": _sql(
         f"SELECT {_r('least(min(y), min(yhat)) - 2')} AS low, {_r('greatest(max(y), max(yhat)) + 2')} AS high FROM line"
     ),
+    "fixed_axis_limits": _sql(
+        " UNION ALL ".join(
+            f"SELECT '{chart}' AS chart, CAST({low} AS DOUBLE) AS low, CAST({high} AS DOUBLE) AS high, count(*) FILTER "
+            f"(WHERE NOT (y BETWEEN {low} AND {high} AND yhat BETWEEN {low} AND {high})) AS n_outside FROM line"
+            for chart, (low, high) in FIXED_LIMITS.items()
+        )
+    ),
     "residual_histogram": _histogram(),
     "prediction_examples": _sql(
         f"SELECT date_time, {_r('y')} AS actual, round_even(yhat, 1) AS predicted, round_even(y - yhat, 1) AS gap "
@@ -324,6 +401,12 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(min(n_vars) AS INTEGER) AS n_vars FROM tried WHERE r2 >= 0.99 * (SELECT max(r2) FROM tried)",
         tried="SELECT row_number() OVER (ORDER BY abs(r), variable) AS n_vars, r * r AS r2 FROM targets",
     ),
+    "cumulative_selection_linear": _linear_selection(
+        f"SELECT n_vars, last_variable, {_rounded(['r2', 'mae', 'rmse'], 5)} FROM {{selected}}"
+    ),
+    "selection_cut_linear": _linear_selection(
+        "SELECT CAST(min(n_vars) AS INTEGER) AS n_vars FROM {selected} WHERE r2 >= 0.99 * (SELECT max(r2) FROM {selected})"
+    ),
     "alignment_sizes": _sizes(),
     "pdp_1d": _sql(
         f"SELECT 'T_data_3_1' AS feature, {_r('v')} AS value, "
@@ -334,7 +417,7 @@ ORACLES: dict[str, str] = {
     ),
     "pdp_2d": _sql(
         f"SELECT {_r('v1', 4)} AS value_1, {_r('v2', 4)} AS value_2, {_r('2 + 0.05 * v1 + 0.1 * v2 + 0.001 * v1 * v2', 4)} AS pd FROM g1, g2",
-        g1=_grid("T_data_3_1", 10, "v1"),
-        g2=_grid("H_data", 10, "v2"),
+        g1=_grid("T_data_3_1", 100, "v1"),
+        g2=_grid("H_data", 100, "v2"),
     ),
 }

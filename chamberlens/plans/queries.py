@@ -1,7 +1,8 @@
 """The registered queries: every operator over the whole tables of a folder.
 
-Model queries use few and shallow trees, so that a check run stays short; the
-operators' own defaults are the full sizes.
+Searches, folds, grids and feature lists are the full ones. How many trees a forest or a
+boosted model of a query has is set by the constants below, so that a check run stays
+short; the operators' own defaults are the full sizes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chamberlens.functions.columns import numeric_columns, rewritten, with_facts
 from chamberlens.operators.align import exact_join, hourly_features, hourly_join, left_align, shift_time
 from chamberlens.operators.boost import RegularizedBoosting
-from chamberlens.operators.charts import actual_vs_predicted, axis_limits, prediction_examples, residual_histogram
+from chamberlens.operators.charts import actual_vs_predicted, axis_limits, outside_limits, prediction_examples, residual_histogram
 from chamberlens.operators.clean import (
     TRIPLETS,
     anomaly_flags,
@@ -50,7 +51,7 @@ from chamberlens.plans.flows import (
     prepare,
     tuning_comparison,
 )
-from chamberlens.session import materialize, scratch_path
+from chamberlens.session import discard, scratch_path, stored
 from chamberlens.sources.event_sensors import sensor_and_quality
 from chamberlens.sources.tables import read_pair, scan_counts
 
@@ -64,6 +65,10 @@ SELECTED = [
 PROBE_COLUMNS = [p for t in TRIPLETS for p in t]
 LINEITEM_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIGITS = 6
+# Sizes of the models that the queries fit, and draws of their searches.
+FOREST = {"trees": 10, "depth": 6}
+ROUNDS, BOOST_DEPTH = 6, 3
+SEARCH_TREES, SEARCH_ROUNDS, DRAWS = [3, 5], [2, 3], 2
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -81,9 +86,9 @@ def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The exact join written once to the shared folder, for queries that read it many times."""
+    """The exact join checkpointed once, when called, for queries that read it many times."""
     aligned = _exact(spark, sf_dir)
-    return materialize(aligned.select(*columns) if columns else aligned, "aligned")[0]
+    return stored(aligned.select(*columns) if columns else aligned)
 
 
 def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,12 +99,18 @@ def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the views written as CSV and read back; the files are gone afterwards."""
     sensors, quality = sensor_and_quality(spark, sf_dir)
     paths = [scratch_path(spark, name) for name in ("sensors-csv", "quality-csv")]
-    for df, path in zip((sensors, quality), paths):
-        df.write.option("header", True).csv(path)
-    x, y = read_pair(spark, *paths)
-    return scan_counts({"sensors": x, "quality": y})
+    try:
+        for df, path in zip((sensors, quality), paths):
+            df.write.option("header", True).csv(path)
+        x, y = read_pair(spark, *paths)
+        counts = scan_counts({"sensors": x, "quality": y})
+        return spark.createDataFrame(counts.collect(), counts.schema)  # one row per table
+    finally:
+        for path in paths:
+            discard(spark, path)
 
 
 def sensor_anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +166,13 @@ def left_align_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_left(spark, sf_dir))
 
 
+def left_align_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor rows, aligned rows (as many, or the join raises) and those without a measurement."""
+    x, y = prepare(*sensor_and_quality(spark, sf_dir))
+    sizes = left_align(x, y).agg(F.count("*").alias("n_aligned"), F.count_if(F.col(TARGET).isNull()).alias("n_without"))
+    return with_facts(sizes, x.agg(F.count("*").alias("n"))).select(F.col("_facts.n").alias("n_sensors"), "n_aligned", "n_without")
+
+
 def hourly_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(hourly_features(clean_sensors(sensor_and_quality(spark, sf_dir)[0])))
 
@@ -213,6 +231,10 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(*holdout(_exact(spark, sf_dir), KEY, exact=False))
 
 
+def holdout_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(*holdout(_exact(spark, sf_dir), KEY, frac=0.015, exact=False))
+
+
 def holdout_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(*holdout(_stored(spark, sf_dir, KEY), KEY))
 
@@ -242,23 +264,34 @@ def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(coefficients(model, columns))
 
 
-def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def linear_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out predictions of least squares on all standardised features."""
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
     train, test = holdout(aligned, KEY)
     train, test = standardize(train, columns, test)
-    model = fit(linear_estimator(TARGET), train, columns)
-    return regression_metrics(predict(model, test), model="linear")
+    return predict(fit(linear_estimator(TARGET), train, columns), test)
+
+
+def linear_predictions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(linear_predictions(spark, sf_dir))
+
+
+def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(regression_metrics(linear_predictions(spark, sf_dir), model="linear"))
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _stored(spark, sf_dir)
-    return fitted(aligned, forest_estimator(TARGET, trees=10, depth=6))[1]
+    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, **FOREST))[1]
+
+
+def forest_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plainest forest: leaves of a single row, no further options."""
+    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, **FOREST, min_leaf=1))[1]
 
 
 def boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _stored(spark, sf_dir)
-    return fitted(aligned, boost_estimator(TARGET, rounds=5, depth=3), SELECTED)[1]
+    return fitted(_stored(spark, sf_dir), boost_estimator(TARGET, rounds=ROUNDS, depth=BOOST_DEPTH), SELECTED)[1]
 
 
 def reg_boost_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,20 +305,36 @@ def reg_boost_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.transform(test).select(KEY, "yhat"))
 
 
+def _boosting(**options) -> RegularizedBoosting:
+    return RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET, **{"rounds": ROUNDS, "depth": BOOST_DEPTH, "rate": 0.3, **options})
+
+
 def reg_boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _stored(spark, sf_dir)
-    train, test = holdout(aligned, KEY)
-    model = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET, rounds=6, depth=3, rate=0.3).fit(train)
-    return predict(model, test)
+    train, test = holdout(_stored(spark, sf_dir), KEY)
+    return predict(_boosting().fit(train), test)
 
 
 def feature_importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
-    model, _ = fitted(aligned, forest_estimator(TARGET, trees=10, depth=6), columns)
+    model, _ = fitted(aligned, forest_estimator(TARGET, **FOREST), columns)
     return pareto(feature_importance(model.stages[-1], columns))
 
 
+def boost_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = holdout(_stored(spark, sf_dir), KEY)
+    return pareto(feature_importance(_boosting().fit(train), SELECTED))
+
+
+def boost_importance_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto_cut(boost_importance(spark, sf_dir))
+
+
+def fitted_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Example rows of a fitted model: least squares on all features."""
+    return prediction_examples(linear_predictions(spark, sf_dir))
+
+
 # --- scores and charts of closed-form predictions ----------------------------
 
 
@@ -296,7 +345,7 @@ def _line(aligned: DataFrame, feature: str) -> DataFrame:
 
 
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line(_exact(spark, sf_dir), "T_data_3_1")
+    return _line(_stored(spark, sf_dir, KEY, "T_data_3_1", TARGET), "T_data_3_1")
 
 
 def regression_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,7 +353,7 @@ def regression_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = _exact(spark, sf_dir)
+    aligned = _stored(spark, sf_dir, KEY, "H_data", "T_data_3_1", TARGET)
     scores = {f: regression_metrics(_line(aligned, f)) for f in ("H_data", "T_data_3_1")}
     return rounded(compare_models(scores, "H_data", "T_data_3_1"))
 
@@ -317,6 +366,11 @@ def axis_limits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(axis_limits(_predicted(spark, sf_dir)))
 
 
+def fixed_axis_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chart limits that do not depend on the data, and how many points lie outside each."""
+    return outside_limits(_predicted(spark, sf_dir))
+
+
 def residual_histogram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(residual_histogram(_predicted(spark, sf_dir)))
 
@@ -348,43 +402,68 @@ def selection_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smallest_sufficient(spark.createDataFrame(rows, "n_vars int, r2 double"))
 
 
-def cumulative_selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _selection(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     aligned = _stored(spark, sf_dir)
+    columns = _features(aligned)
     train, test = holdout(aligned, KEY)
-    columns = ["T_data_3_1", "T_data_3_2", "T_data_3_3", "H_data"]
-    full = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
+    full = fit(forest_estimator(TARGET, **FOREST), train, columns).stages[-1]
     ranked = [r["variable"] for r in feature_importance(full, columns).collect()]  # one row per variable
-    return cumulative_selection(train, test, ranked, forest_estimator(TARGET, trees=5, depth=5))
+    return cumulative_selection(train, test, ranked, estimator)
+
+
+def cumulative_selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All variables, ranked by a forest, each number of them scored by a smaller forest."""
+    return _selection(spark, sf_dir, forest_estimator(TARGET, trees=FOREST["trees"] // 2, depth=FOREST["depth"]))
+
 
+def selection_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest number of variables within 99 % of the best fitted score."""
+    return smallest_sufficient(cumulative_selection_query(spark, sf_dir))
 
-def _small(grid: dict[str, list], **limits) -> dict[str, list]:
-    return {**grid, **limits}
 
+def _linear_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares on the first n features, in the order of their names."""
+    aligned = _stored(spark, sf_dir)
+    train, test = holdout(aligned, KEY)
+    return cumulative_selection(train, test, sorted(_features(aligned)), linear_estimator(TARGET))
+
+
+def cumulative_selection_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_linear_selection(spark, sf_dir), 5)
+
+
+def selection_cut_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return smallest_sufficient(_linear_selection(spark, sf_dir))
 
-def random_search_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = _small(FOREST_GRID, n_estimators=[3, 5], max_depth=[3, 5])
+
+def random_search_forest(spark: SparkSession, sf_dir: str, trees: list[int] = SEARCH_TREES, draws: int = DRAWS) -> DataFrame:
+    """The whole search space but for the numbers of trees; all features, five folds."""
     estimator = forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
     train, _ = holdout(aligned, KEY)
-    draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
-    return random_search(train, estimator, draws, SELECTED, k=2)[1]
+    params = [forest_params(estimator, d) for d in draw_params({**FOREST_GRID, "n_estimators": trees}, draws)]
+    return random_search(train, estimator, params, _features(aligned))[1]
 
 
-def random_search_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = _small(BOOST_GRID, n_estimators=[2, 3], max_depth=[2])
+def random_search_boost(spark: SparkSession, sf_dir: str, rounds: list[int] = SEARCH_ROUNDS, draws: int = DRAWS) -> DataFrame:
     estimator = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET)
-    aligned = _stored(spark, sf_dir)
-    train, _ = holdout(aligned, KEY)
-    draws = [boost_params(estimator, d) for d in draw_params(grid, 2)]
-    return random_search(train, estimator, draws, SELECTED, k=2)[1]
+    train, _ = holdout(_stored(spark, sf_dir), KEY)
+    params = [boost_params(estimator, d) for d in draw_params({**BOOST_GRID, "n_estimators": rounds}, draws)]
+    return random_search(train, estimator, params, SELECTED)[1]
 
 
 def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    estimator = forest_estimator(TARGET, trees=2, depth=2)
-    grid = _small(FOREST_GRID, n_estimators=[4, 5], max_depth=[5, 6])
+    """The forest as the other queries fit it against the best of a few draws."""
+    estimator = forest_estimator(TARGET, **FOREST)
     aligned = _stored(spark, sf_dir)
-    draws = [forest_params(estimator, d) for d in draw_params(grid, 2)]
-    return tuning_comparison(aligned, estimator, draws, SELECTED, k=2)[1]
+    params = [forest_params(estimator, d) for d in draw_params({**FOREST_GRID, "n_estimators": [FOREST["trees"]]}, DRAWS)]
+    return tuning_comparison(aligned, estimator, params, _features(aligned))[1]
+
+
+def boost_tuning_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    estimator = _boosting()
+    params = [boost_params(estimator, d) for d in draw_params({**BOOST_GRID, "n_estimators": [ROUNDS]}, DRAWS)]
+    return tuning_comparison(_stored(spark, sf_dir), estimator, params, SELECTED)[1]
 
 
 def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,7 +473,7 @@ def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alignment_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = sensor_and_quality(spark, sf_dir)
-    return alignment_comparison(x, y, lambda: forest_estimator(TARGET, trees=5, depth=5))
+    return alignment_comparison(x, y, lambda: forest_estimator(TARGET, **FOREST))
 
 
 # --- partial dependence ------------------------------------------------------
@@ -417,15 +496,15 @@ def pdp_1d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pdp_2d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data", grid=10), 4)
+    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data"), 4)
 
 
 def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
     train, _ = holdout(aligned, KEY)
-    forest = fit(forest_estimator(TARGET, trees=5, depth=5), train, columns).stages[-1]
-    points = grid_values(train, columns, grid=20)
+    forest = fit(forest_estimator(TARGET, **FOREST), train, columns).stages[-1]
+    points = grid_values(train, columns)
     grids = {(c,): [(v,) for v in values] for c, values in points.items()}
     pair = ("T_data_3_1", "H_data")
     grids[pair] = [(a, b) for a in points[pair[0]] for b in points[pair[1]]]
@@ -456,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "shift_time": shift_time_query,
     "exact_lag_join": exact_lag_join,
     "left_align": left_align_query,
+    "left_align_counts": left_align_counts,
     "hourly_features": hourly_features_query,
     "hourly_join": hourly_join_query,
     "column_extremes": column_extremes_query,
@@ -468,20 +548,27 @@ QUERIES: dict[str, Query] = {
     "lineitem_summary": lineitem_summary,
     "lineitem_correlation": lineitem_correlation,
     "holdout_split": holdout_split,
+    "holdout_fraction": holdout_fraction,
     "holdout_split_exact": holdout_split_exact,
     "fold_assignment": fold_assignment,
     "standardize": standardize_query,
     "linear_fit": linear_fit,
     "linear_metrics": linear_metrics,
     "forest_predictions": forest_predictions,
+    "linear_predictions": linear_predictions_query,
+    "fitted_examples": fitted_examples,
+    "forest_minimal": forest_minimal,
     "boost_predictions": boost_predictions,
     "reg_boost_stump": reg_boost_stump,
     "reg_boost_predictions": reg_boost_predictions,
     "feature_importance": feature_importance_query,
+    "boost_importance": boost_importance,
+    "boost_importance_cut": boost_importance_cut,
     "regression_metrics": regression_metrics_query,
     "model_comparison": model_comparison,
     "actual_vs_predicted": actual_vs_predicted_query,
     "axis_limits": axis_limits_query,
+    "fixed_axis_limits": fixed_axis_limits,
     "residual_histogram": residual_histogram_query,
     "prediction_examples": prediction_examples_query,
     "pareto_share": pareto_share,
@@ -489,9 +576,13 @@ QUERIES: dict[str, Query] = {
     "revenue_pareto": revenue_pareto,
     "selection_threshold": selection_threshold,
     "cumulative_selection": cumulative_selection_query,
+    "selection_cut": selection_cut,
+    "cumulative_selection_linear": cumulative_selection_linear,
+    "selection_cut_linear": selection_cut_linear,
     "random_search_forest": random_search_forest,
     "random_search_boost": random_search_boost,
     "tuning_comparison": tuning_comparison_query,
+    "boost_tuning_comparison": boost_tuning_comparison,
     "alignment_sizes": alignment_sizes,
     "alignment_comparison": alignment_comparison_query,
     "pdp_1d": pdp_1d_query,

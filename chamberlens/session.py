@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ def build_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -30,18 +30,29 @@ def build_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``, or set on the context.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would not share it, so an unset folder is an error there.
+    Where neither is set it becomes a folder inside the warehouse, which the machines of
+    a cluster share too. No session, local or not, uses a machine's own folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="chamberlens-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a reliable checkpoint in the shared folder.
+
+    Unlike a cache it survives lost executors, and unlike a lineage it is not recomputed
+    by every later job. It is written when called. Its files go when no table refers to
+    them any more, if the session sets ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/chamberlens/{label}-{uuid.uuid4().hex}"
 

@@ -133,6 +133,13 @@ def test_boosting_matches_brute_force(table, data, options):
     assert got == pytest.approx(want, abs=1e-8)
 
 
+def test_boosting_does_not_depend_on_partitions(table):
+    boost = RegularizedBoosting(inputCols=COLUMNS, rounds=3, depth=3, rate=0.5, refreshEvery=2)
+    one, five = (boost.fit(table.repartition(n)) for n in (1, 5))
+    assert [(t.feature, t.bin) for t in one.trees] == [(t.feature, t.bin) for t in five.trees]
+    assert [w for t in one.trees for w in t.weight] == pytest.approx([w for t in five.trees for w in t.weight], abs=1e-9)
+
+
 def test_boosting_samples_rows_and_columns(table):
     model = RegularizedBoosting(inputCols=COLUMNS, rounds=3, depth=2, rate=0.5, subsample=0.5, colsample=0.4, refreshEvery=2).fit(table)
     assert all(len({f for f in t.feature if f >= 0}) <= 1 for t in model.trees)
@@ -261,6 +268,7 @@ def test_both_alignments_are_scored(spark, small):
     rows = {r.alignment: r for r in alignment_comparison(x, y, lambda: forest_estimator(trees=2, depth=3)).collect()}
     assert (rows["exact"].n_features, rows["hourly"].n_features) == (16, 64)
     assert (rows["exact"].n_scored, rows["hourly"].n_scored) == (40, 40)
+    assert (rows["exact"].n_rows, rows["hourly"].n_rows) == (197, 200)
 
 
 def test_forest_finds_the_signal_in_the_fixture(spark, medium):

@@ -30,9 +30,13 @@ def test_entry_runs(spark):
         ("boost_predictions", 40),
         ("reg_boost_predictions", 40),
         ("feature_importance", 16),
-        ("cumulative_selection", 4),
+        ("cumulative_selection", 16),
+        ("boost_importance", 12),
+        ("boost_importance_cut", 1),
+        ("forest_minimal", 40),
         ("alignment_comparison", 2),
-        ("linear_metrics", 1),
+        ("random_search_forest", 2),
+        ("tuning_comparison", 3),
     ],
 )
 def test_model_queries_run(spark, small, name, rows):

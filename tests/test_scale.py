@@ -14,7 +14,7 @@ from chamberlens.operators.clean import clean_sensors
 from chamberlens.operators.explain import grid_values
 from chamberlens.operators.sample import folds, holdout
 from chamberlens.operators.stats import numeric_summary
-from chamberlens.session import scratch_root
+from chamberlens.session import scratch_path, scratch_root
 from chamberlens.sources.event_sensors import sensor_and_quality
 
 T0 = dt.datetime(2024, 1, 1)
@@ -198,25 +198,47 @@ def test_cleaning_stays_below_the_jvm_compile_limit(spark, conf, small, tmp_path
         assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
 
 
-def test_scratch_follows_the_session(spark):
-    class Conf(dict):
-        pass
+def test_scratch_follows_the_session():
+    class Context:
+        """Any master: only the settings count."""
+
+        master, folder = "yarn", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
-        conf = Conf({"spark.checkpoint.dir": "hdfs://shared/cp/"})
+        def __init__(self, **conf):
+            self.conf, self.sparkContext = {k.replace("_", "."): v for k, v in conf.items()}, Context()
 
-    assert scratch_root(Session) == "hdfs://shared/cp"
+    named = Session(spark_checkpoint_dir="hdfs://shared/cp/")
+    assert scratch_root(named) == "hdfs://shared/cp"
+    bare = Session(spark_sql_warehouse_dir="hdfs://shared/warehouse")
+    assert scratch_root(bare) == "hdfs://shared/warehouse/_scratch" == bare.sparkContext.folder
 
-    class Context:
-        master = "yarn"
 
-        @staticmethod
-        def getCheckpointDir():
-            return None
+def test_csv_copies_are_gone_after_the_counts(spark, small, monkeypatch):
+    from chamberlens.plans import queries
+
+    kept = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, label: kept.append(scratch_path(s, label)) or kept[-1])
+    assert queries.QUERIES["scan_counts"](spark, small).count() == 2
+    assert len(kept) == 2
+    for path in kept:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        assert not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def test_gap_filters_of_the_derived_views_reach_the_scan(spark, small):
+    plan = plan_of(clean_sensors(sensor_and_quality(spark, small)[0]))
+    assert "IsNotNull(event_id)" in plan and "IsNotNull(user_id)" in plan
+
 
-    class Bare:
-        conf = Conf()
-        sparkContext = Context
+@pytest.mark.parametrize("query", ["residual_histogram", "model_comparison", "regression_metrics"])
+def test_queries_with_many_passes_read_the_stored_join(spark, small, query):
+    from chamberlens.plans.queries import QUERIES
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(Bare)
+    assert "Scan parquet" not in plan_of(QUERIES[query](spark, small))

@@ -169,6 +169,54 @@ def test_repeated_measurement_times_raise(spark):
     assert [r.quality for r in kept] == [1.0, None]
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_repeated_times_raise_whatever_is_read(spark, conf, adaptive):
+    conf("spark.sql.adaptive.enabled", adaptive)
+    joined = left_align(sensors(spark, [(at(0), 1), (at(1), 2)]), measured(spark, [(at(0), 1.0), (at(0), 2.0)]))
+    for read in (joined.count, joined.select("T_a").collect, joined.select("date_time").collect):
+        with pytest.raises(PySparkException, match="repeated values"):
+            read()
+
+
+def test_events_beyond_two_billion_have_a_time(spark, tmp_path):
+    from chamberlens.sources.event_sensors import sensor_and_quality
+
+    spark.createDataFrame([(3_000_000_000, 1, 2.0)], "event_id bigint, user_id bigint, value double").write.parquet(str(tmp_path / "events.parquet"))
+    x, y = sensor_and_quality(spark, str(tmp_path))
+    assert x.first().date_time == dt.datetime(2024, 1, 1) + dt.timedelta(minutes=3_000_000_000) and y.first().date_time > T0
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [-1.7e308, 0.0, 1.7e308],
+        [5e-324, 1e-323, 1e-300, 1.0, 1e300, 1.7e308, -3.0],
+        [float("-inf"), 1.0, 2.0, float("inf"), float("inf")],
+        [float("inf")] * 3,
+        [0.0] * 50 + [1e-200 * 1.1**i for i in range(2000)],
+        [1.0] * 1000 + [1.0 + 2**-52],
+    ],
+)
+def test_order_statistics_of_any_range(spark, values):
+    from chamberlens.functions.ranks import order_statistics
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ordered = sorted(values)
+    ranks = sorted({1, len(values), (len(values) + 1) // 2, max(1, len(values) // 4)})
+    found = order_statistics(df, ["v"], lambda _, n: ranks)["v"]
+    assert {r: h.value for r, h in found.items()} == {r: ordered[r - 1] for r in ranks}
+    assert all((h.below, h.at) == (sum(v < h.value for v in values), values.count(h.value)) for h in found.values())
+
+
+@pytest.mark.parametrize("share", [0.004, 0.015, 0.125, 0.2])
+def test_holdout_keeps_any_share(spark, share):
+    from chamberlens.operators.sample import holdout
+
+    n = 20_000
+    test = holdout(spark.range(n).withColumnRenamed("id", "k"), "k", frac=share, exact=False)[1].count()
+    assert abs(test - share * n) < 5 * (n * share * (1 - share)) ** 0.5
+
+
 def test_shared_names_raise(spark):
     x = spark.createDataFrame([(T0, 1.0)], "date_time timestamp_ntz, quality double")
     for join in (exact_join, left_align):
