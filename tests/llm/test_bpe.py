@@ -1,0 +1,95 @@
+"""Encoding and decoding against the tokenizers library."""
+
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from chamberlens.llm import bpe
+from chamberlens.llm.bpe import Encoder, decode, encode, merge_long, merge_words
+from chamberlens.llm.queries import vocabulary_path
+
+TEXTS = [
+    "Hello  World's <|endoftext|> ÀÉ thanedble 12 $$$ Σς ΑΣ <|startoftext|>x",
+    None,
+    "",
+    " \n\t ",
+    "a" * 700,
+    "ab" * 300 + "!" * 90,
+    "é İ ŉ ﬁ Å",
+    "'sfoo 'REst I'VE they'll",
+    "\x00\x1c\x1d a​b a\x1cb c\x1fd<|ENDOFTEXT|> x\x85y z 　w",
+    "<|endoftext|><|endoftext|>",
+    "日本語のテキスト 12３４ ½ ² ⅷ",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(vocabulary_path())
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(vocabulary_path())
+
+
+def lists(encoder, texts):
+    ids, counts = encoder.encode(texts)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def want(library, texts):
+    return [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_matches_the_library(library, encoder):
+    assert lists(encoder, TEXTS) == want(library, TEXTS)
+    draw = random.Random(0)
+    texts = ["".join(draw.choice(" aAeEinthé's!1$<|>ß語\n") for _ in range(draw.randint(0, 150))) for _ in range(2000)]
+    assert lists(encoder, texts) == want(library, texts)
+
+
+def test_single_characters(library, encoder):
+    texts = [f"a{chr(c)}b" for c in [*range(0x250), *range(0x2000, 0x2070), 0x3000, 0xFEFF, 0x1F600]]
+    assert lists(encoder, texts) == want(library, texts)
+
+
+def test_long_and_short_words_merge_alike(encoder):
+    draw = random.Random(1)
+    words = ["".join(draw.choice("etaoinshrdlu") for _ in range(n)) for n in range(1, 64) for _ in range(6)]
+    ids, counts = merge_words(words, encoder.vocabulary)
+    v = encoder.vocabulary
+    for word, got in zip(words, np.split(ids, np.cumsum(counts)[:-1])):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        assert got.tolist() == merge_long([*v.inner[raw[:-1]].tolist(), int(v.last[raw[-1]])], v)
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_CHUNKS", 3)
+    small = Encoder(vocabulary_path())
+    for text in TEXTS:
+        assert lists(small, [text, text]) == want(library, [text, text])
+
+
+def test_documents_in_spark(spark, small, library):
+    path = vocabulary_path()
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    for r in decode(encode(docs, path), path).collect():
+        told = library.encode(r["text"] or "", add_special_tokens=False)
+        assert list(r["ids"]) == told.ids
+        assert r["decoded"] == library.decode(told.ids, skip_special_tokens=False)
+
+
+def test_awkward_rows(spark, docs_of, library):
+    path = vocabulary_path()
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0]), (99, "long words " * 60_000 + "x" * 50_000)]
+    df = docs_of(rows).selectExpr("*", "'a' AS IDS", "'b' AS decoded", "'c' AS number")
+    got = decode(encode(df, path), path).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert list(r["ids"]) == library.encode(r["text"] or "", add_special_tokens=False).ids and r["number"] == "c"
+    assert decode(encode(docs_of([]), path), path).count() == 0
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [-1, 10**6, 514])], "k int, ids array<int>")
+    assert [r["decoded"] for r in decode(odd, path).orderBy("k").collect()] == ["", "", "an"]
