@@ -32,7 +32,7 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}
 
 FULL = np.int64(1) << 60
 TOGETHER = 64
-MOST_CHUNKS = 1_000_000
+MOST_CHUNKS = 400_000
 #: White space to other engines, not to the tokeniser.
 ODD = regex.compile(r"[\x1c-\x1f]")
 
@@ -304,7 +304,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
