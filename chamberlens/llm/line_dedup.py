@@ -32,7 +32,7 @@ def line_dedup(
     columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
     base = without(docs, "n_lines", "n_dropped")
-    lines, mark, gone = free_names(base, "_lines", "_mark", "_gone")
+    lines, mark, gone, id_of, mark_of = free_names(base, "_lines", "_mark", "_gone", "_id_of", "_mark_of")
     text = F.coalesce(F.col(text_col), F.lit(""))
     marked = base.withColumns({mark: F.xxhash64(text), lines: F.split(text, "\n", -1)})
 
@@ -54,10 +54,10 @@ def line_dedup(
     drops = (
         keyed.join(shared, ["h1", "h2"])
         .where(F.col("id") != F.col("first"))
-        .groupBy(F.col("id").alias("_id_of"), F.col("mark").alias("_mark_of"))
+        .groupBy(F.col("id").alias(id_of), F.col("mark").alias(mark_of))
         .agg(F.collect_set("pos").alias(gone))
     )
-    joined = marked.join(drops, (F.col(id_col) == F.col("_id_of")) & (F.col(mark) == F.col("_mark_of")), "left")
+    joined = marked.join(drops, (F.col(id_col) == F.col(id_of)) & (F.col(mark) == F.col(mark_of)), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     rest = F.array_join(F.transform(kept, lambda p: F.get(F.col(lines), p)), "\n")
     result = joined.withColumns(

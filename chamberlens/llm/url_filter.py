@@ -12,7 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chamberlens.llm.common import ascii_lower, free_names, stored, without
+from chamberlens.llm.common import ascii_lower, free_names, without
+from chamberlens.session import stored
 
 #: (verdict, host and path prefix)
 RULES = (
@@ -145,15 +146,15 @@ def filter_urls(
     """
     added = ("host", "path", "rule", "verdict", "bad_bound")
     base = without(pages, *added)
-    (name,) = free_names(base, "_host")
-    rule, decided = matching_rule(F.col(name), F.col("path"), rules)
+    name, judged, blocked, decided = free_names(base, "_host", "_judged", "_blocked", "_decided")
+    rule, verdict = matching_rule(F.col(name), F.col("path"), rules)
     reputation = host_reputation(trials, limit=limit, sigmas=sigmas).select(
-        F.col("host").alias("_judged"), F.col("bound").alias("bad_bound"), F.col("blocked").alias("_blocked")
+        F.col("host").alias(judged), F.col("bound").alias("bad_bound"), F.col("blocked").alias(blocked)
     )
     parted = base.withColumns({name: host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    ruled = parted.withColumns({"rule": rule, "_decided": decided})
-    by_method = F.when(F.col("_blocked"), "block").otherwise("allow")
-    joined = ruled.join(reputation, F.col(name) == F.col("_judged"), "left")
+    ruled = parted.withColumns({"rule": rule, decided: verdict})
+    by_method = F.when(F.col(blocked), "block").otherwise("allow")
+    joined = ruled.join(reputation, F.col(name) == F.col(judged), "left")
     return joined.select(
-        *base.columns, F.col(name).alias("host"), "path", "rule", F.coalesce("_decided", by_method).alias("verdict"), "bad_bound"
+        *base.columns, F.col(name).alias("host"), "path", "rule", F.coalesce(F.col(decided), by_method).alias("verdict"), "bad_bound"
     )
