@@ -67,14 +67,16 @@ def hourly_join(
     y: DataFrame,
     on: str = "date_time",
     stats: tuple[str, ...] = ("mean", "max", "min", "std"),
-    slices: int = 32,
+    slices: int | None = None,
 ) -> DataFrame:
     """Hourly sensor features joined with each measurement of the hour, gaps dropped.
 
-    A crowded hour of measurements is spread over ``slices`` tasks. The slice is the
-    number of the map task, which a retry repeats and which separates copies too;
-    the features, one row per hour, are repeated once per slice.
+    A crowded hour of measurements is spread over ``slices`` keys, by default four for
+    each shuffle partition, so that it can reach all of them. The slice is the number of
+    the map task, which a retry repeats and which separates copies too; the features, one
+    row per hour, are repeated once per slice.
     """
+    slices = slices or 4 * int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     features = hourly_features(x, on, stats)
     _refuse_shared_names(features, y, on)
     spread = features.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
