@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chamberlens.session import scratch_root
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
 
@@ -19,18 +17,6 @@ def ascii_lower(c: Column) -> Column:
     return F.when(plain, F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a reliable checkpoint in the shared folder.
-
-    The files live as long as the table is referenced if the session sets
-    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
-
-
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop the columns that an operator is about to add; names compare as Spark compares them."""
     mine = {n.lower() for n in names}

@@ -6,11 +6,13 @@
 2. Classes are posted under their pairs. Two classes whose signatures agree in at least
    ``match`` coordinates must meet under one of each class's rarest pairs (the prefix);
    the long postings are skipped and their collisions counted from the signatures.
-3. Under a posting, classes are compared with a few leaders, the most central first;
-   what becomes one component is not compared again. Rounds take more leaders until
-   every pair of classes under a posting is linked, compared, or in one component. So a
-   group of copies costs about its size, and no link is lost.
-4. Pairs at or above the match threshold are confirmed on their full shingle sets.
+3. Two rounds compare the classes under each posting with its most central one only and
+   tie the linked ones together, so a group of copies costs about its size. A posting
+   whose classes are all in one component is done.
+4. What is left under the other postings is compared in full, in blocks of bounded size
+   within tasks: collisions are counted by products of incidence matrices, and only
+   the links that join components leave a task. So no link is lost and no pairs are listed.
+5. Pairs at or above the match threshold are confirmed on their full shingle sets.
 
 Sets hold 64-bit hashes of shingles; apart from hash collisions they are exact.
 """
@@ -25,9 +27,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chamberlens.llm.common import stored
+from chamberlens.llm.common import free_names
+from chamberlens.session import stored
 
 SHINGLE, COORDINATES, MISS = 5, 64, 1e-6
+ROUNDS, BLOCK_MEMBERS, BLOCK_SHINGLES, _WIDE = 2, 1024, 1 << 20, 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _AT_ONCE = 2048
 
@@ -114,6 +118,18 @@ def _shingles(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(work, f"node {id_type}, shingles array<long>")
 
 
+def _parts(rows: int, at_once: int = 100_000) -> int:
+    """Partitions for a table of so many rows; few rows in many partitions are mostly files."""
+    return max(1, -(-rows // at_once))
+
+
+def _stored(df: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """A table of at most about ``most`` rows, stored, and its size."""
+    table = stored(df.coalesce(_parts(most)))
+    rows = table.count()
+    return table.coalesce(_parts(rows)), rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b) but the roots; a root is the least
     node of its component.
@@ -122,14 +138,15 @@ def components(edges: DataFrame) -> DataFrame:
     least one. Only minima are aggregated, so a node with many neighbours is no large group.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
+    rows, mark = edges.count(), None
+    edges = edges.coalesce(_parts(rows))
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         tied = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(tied.union(lowest.toDF("a", "b")).distinct())
+        edges = stored(tied.union(lowest.toDF("a", "b")).distinct().coalesce(_parts(rows)))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             return edges.toDF("node", "root")
@@ -143,8 +160,6 @@ def near_duplicates(
     percent: int = 80,
     words: int = SHINGLE,
     coordinates: int = COORDINATES,
-    leaders: int = 1,
-    growth: int = 8,
 ) -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -175,30 +190,32 @@ def near_duplicates(
         F.explode(F.slice("met", F.lit(1), F.size("met") - match + 1)).alias("pair"),
     )
     postings = stored(prefix.select(F.col("pair.token").alias("token"), "node", "weight", F.col("node").alias("label")))
-    labels = stored(postings.select("node", F.col("node").alias("label")).distinct())
-    held = stored(classes.join(labels.select("node"), "node", "left_semi").select("node", "signature"))
+    rows = postings.count()
+    postings = postings.coalesce(_parts(rows))
+    labels, n_nodes = _stored(postings.select("node", F.col("node").alias("label")).distinct(), rows)
+    held = stored(classes.join(labels.select("node"), "node", "left_semi").select("node", "signature").coalesce(_parts(n_nodes, 2_000)))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = stored(_shingles(texts.join(labels.select(F.col("node").alias("id")), "id", "left_semi"), words))
 
-    while True:
+    for turn in range(ROUNDS + 1):
         # postings whose classes are all in one component are done
         open_tokens = postings.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        postings = stored(postings.join(open_tokens.select("token"), "token"))
-        if postings.isEmpty():
+        postings, rows = _stored(postings.join(open_tokens.select("token"), "token"), rows)
+        if not rows:
             break
-        rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), "node", "label"))
-        first = stored(postings.withColumn("rank", rank).where(F.col("rank") <= leaders).select("token", "node", "label"))
-        lead = first.toDF("token", "lead", "lead_label")
-        pairs = postings.join(lead, "token").where("label <> lead_label").select("lead", "node", "lead_label", "label").distinct()
-        linked = stored(_confirmed(pairs, held, sets, match, percent))
-        postings = postings.join(first, ["token", "node", "label"], "left_anti")
-        if not linked.isEmpty():
-            roots = components(linked.toDF("a", "b"))
-            moved = roots.toDF("label", "root")
-            labels = stored(_relabelled(labels, moved, "node"))
+        if turn < ROUNDS:
+            rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), "node", "label"))
+            first, _ = _stored(postings.withColumn("rank", rank).where("rank = 1").select("token", "node", "label"), rows)
+            lead = first.toDF("token", "lead", "lead_label")
+            pairs = postings.join(lead, "token").where("label <> lead_label").select("lead", "node", "lead_label", "label").distinct()
+            linked, n_linked = _stored(_confirmed(pairs, held, sets, match, percent), rows)
+            postings = postings.join(first, ["token", "node", "label"], "left_anti")
+        else:
+            linked, n_linked = _stored(_in_blocks(postings, held.join(sets, "node"), match, percent), rows)
+        if n_linked:
+            moved = components(linked.toDF("a", "b")).toDF("label", "root")
+            labels, _ = _stored(_relabelled(labels, moved, "node"), n_nodes)
             postings = _relabelled(postings, moved, "token", "node", "weight")
-        postings = stored(postings)
-        leaders *= growth
 
     nodes = classes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("root"))
     found = signed.select("id", "n_shingles", "key").join(nodes, "key", "left")
@@ -227,13 +244,94 @@ def _confirmed(pairs: DataFrame, held: DataFrame, sets: DataFrame, match: int, p
     return beside(sets, "shingles").withColumn("common", common).where(close).select("lead_label", "label").distinct()
 
 
+def _in_blocks(postings: DataFrame, members: DataFrame, match: int, percent: int) -> DataFrame:
+    """Links (label, label) between the components under each posting; every pair of its
+    classes is compared. A crowded posting is dealt into blocks, and a group is two of them."""
+    sized = postings.join(members.select("node", F.size("shingles").alias("n")), "node")
+    share = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    blocks = sized.groupBy("token").agg(share.alias("blocks"))
+    dealt = postings.join(blocks, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = met.select(
+        "token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "label"
+    ).join(members, "node")
+    label = groups.schema["label"].dataType.simpleString()
+
+    def compare(table: pa.Table) -> pa.Table:
+        labels = table.column("label").to_pylist()
+        number = {v: i for i, v in enumerate(sorted(set(labels)))}
+        names = list(number)
+        found = _links(
+            np.array([number[v] for v in labels]),
+            table.column("block").to_numpy(),
+            [np.array(v, np.int64) for v in table.column("signature").to_pylist()],
+            [np.array(v, np.int64) for v in table.column("shingles").to_pylist()],
+            match,
+            percent,
+        )
+        kind = table.schema.field("label").type
+        return pa.table({"a": pa.array([names[a] for a, _ in found], kind), "b": pa.array([names[b] for _, b in found], kind)})
+
+    return groups.groupBy("token", "one", "two").applyInArrow(compare, f"a {label}, b {label}").distinct()
+
+
+def _common(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """How many elements each of the ``rows`` shares with each of the ``columns``, by
+    products of incidence matrices over the elements that occur more than once."""
+    used = np.union1d(rows, columns)
+    owner = np.repeat(used, [len(sets[i]) for i in used])
+    _, element, times = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)
+    shared = times[element] > 1
+    owner, element = owner[shared], np.unique(element[shared], return_inverse=True)[1]
+    total = np.zeros((len(rows), len(columns)), np.float32)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    for at in range(0, element[-1] + 1 if len(element) else 0, _WIDE):
+        part = slice(*np.searchsorted(element, [at, at + _WIDE]))
+        held = np.zeros((used[-1] + 1, min(_WIDE, element[-1] + 1 - at)), np.float32)
+        held[owner[part], element[part] - at] = 1
+        total += held[rows] @ held[columns].T
+    return total
+
+
+def _links(labels, blocks, signatures, sets, match: int, percent: int) -> list[tuple[int, int]]:
+    """Label pairs that tie the group's components together, at most one less than labels."""
+    if len(set(labels.tolist())) < 2:
+        return []
+    one, two = blocks.min(), blocks.max()
+    rows, columns = np.flatnonzero(blocks == one), np.flatnonzero(blocks == two)
+    likely = (_common(signatures, rows, columns) >= match) & (labels[rows][:, None] != labels[columns])
+    rows, columns, likely = rows[likely.any(1)], columns[likely.any(0)], likely[likely.any(1)][:, likely.any(0)]
+    if not len(rows):
+        return []
+    sizes = np.array([len(s) for s in sets])
+    common = _common(sets, rows, columns).astype(np.int64)
+    union = sizes[rows][:, None] + sizes[columns] - common
+    at, to = np.nonzero(likely & (100 * common >= percent * union))
+    pairs = np.unique(np.sort(np.stack([labels[rows[at]], labels[columns[to]]], 1), axis=1), axis=0)
+    root = list(range(int(labels.max()) + 1))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    links = []
+    for a, b in pairs.tolist():
+        if top(a) != top(b):
+            root[top(b)] = top(a)
+            links.append((a, b))
+    return links
+
+
 def _relabelled(table: DataFrame, moved: DataFrame, *columns: str) -> DataFrame:
     return table.join(moved, "label", "left").select(*columns, F.coalesce("root", "label").alias("label"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The documents that :func:`near_duplicates` keeps, with all their columns; rows
-    without id stay."""
+    """The documents that :func:`near_duplicates` keeps, with all their columns. Rows
+    without id stay, and so does an id of which any row is kept."""
     groups = near_duplicates(docs, id_col, text_col, percent)
-    dropped = groups.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("_gone"), "left_anti")
+    (gone,) = free_names(docs, "_gone")
+    dropped = groups.groupBy(F.col(id_col).alias(gone)).agg(F.bool_or("kept").alias("any")).where(~F.col("any")).select(gone)
+    return docs.join(dropped, F.col(id_col) == F.col(gone), "left_anti")

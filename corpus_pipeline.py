@@ -14,7 +14,7 @@ from chamberlens.llm.language_id import UNKNOWN, fit_languages, identify_languag
 from chamberlens.llm.line_dedup import line_dedup
 from chamberlens.llm.near_dedup import without_near_duplicates
 from chamberlens.llm.queries import vocabulary_path
-from chamberlens.session import materialize
+from chamberlens.session import discard, materialize
 
 #: No SQL stands for a trained language model or the tokeniser; the tests compare the
 #: stages with brute force instead.
@@ -63,8 +63,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each on the written result of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to ``documents``, each on the written result of the one before.
+
+    The stages but the last run when called. A stage's table in the shared folder goes
+    once the next one is written; the last one stays, because the result reads it.
+    """
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        stale = path
+        docs, path = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if stale:
+            discard(spark, stale)
     return STAGES[-1][1](spark, docs, sf_dir)
