@@ -32,7 +32,7 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}
 
 FULL = np.int64(1) << 60
 TOGETHER = 64
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 250_000
 #: White space to other engines, not to the tokeniser.
 ODD = regex.compile(r"[\x1c-\x1f]")
 
@@ -226,9 +226,9 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.number: dict = {}
         self.ids = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
@@ -264,7 +264,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text); null is empty."""
         if len(self.number) > MOST_CHUNKS:
-            self._forget()
+            self.forget()
         v = self.vocabulary
         slow = {i: self._slowly(t) for i, t in enumerate(texts) if t and (ODD.search(t) or v.specials.search(t))}
         plain = ["" if i in slow or not t else v.folded(t) for i, t in enumerate(texts)]
@@ -309,23 +309,40 @@ def _parts(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
-    """The documents with ``ids``, the token ids of the whole text.
+def _decoded(lists: pa.Array, tokens: np.ndarray) -> pa.Array:
+    """The tokens of each list of ids joined by one blank; ids outside the vocabulary give nothing."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    known = (flat >= 0) & (flat < len(tokens))
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    if not known.all():
+        ends = np.concatenate(([0], np.cumsum(known)))[ends]
+        flat = flat[known]
+    words, ends = tokens[flat].tolist(), ends.tolist()
+    return pa.array([" ".join(words[a:b]) for a, b in zip([0, *ends], ends)], pa.string())
+
+
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """The documents with ``ids``, the token ids of the whole text, and if asked for also
+    ``decoded``, as :func:`decode` gives it from the ids, in the same pass.
 
     ``vocabulary`` is the path of a tokeniser file, the same on every machine. Special
     strings of the file count as their tokens. A null or empty text has no ids. Rows are
-    encoded one by one; an input column named ``ids`` is replaced.
+    encoded one by one; input columns with the names of the results are replaced.
     """
-    base = without(docs, "ids")
-    text_at, names = base.columns.index(text_col), [*base.columns, "ids"]
+    added = ["ids", "decoded"] if decoded else ["ids"]
+    base = without(docs, *added)
+    text_at, names = base.columns.index(text_col), [*base.columns, *added]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in _parts(batch)):
             ids, counts = encoder(vocabulary).encode(part.column(text_at).to_pylist())
             lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*part.columns, lists], names=names)
+            texts = [_decoded(lists, encoder(vocabulary).vocabulary.tokens)] if decoded else []
+            yield pa.RecordBatch.from_arrays([*part.columns, lists, *texts], names=names)
+        encoder(vocabulary).forget()  # a reused worker keeps nothing of a finished task
 
-    return base.mapInArrow(work, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return base.mapInArrow(work, T.StructType([*base.schema.fields, *fields[: len(added)]]))
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
@@ -337,15 +354,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in _parts(batch)):
-            tokens = encoder(vocabulary).vocabulary.tokens
             lists = part.column(ids_at).fill_null([])
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            known = (flat >= 0) & (flat < len(tokens))
-            words = tokens[np.where(known, flat, 0)].tolist()
-            if not known.all():
-                words = [w if k else None for w, k in zip(words, known)]
-            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
-            texts = [" ".join(w for w in words[a:b] if w is not None) if not known.all() else " ".join(words[a:b]) for a, b in zip([0, *ends], ends)]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*part.columns, _decoded(lists, encoder(vocabulary).vocabulary.tokens)], names=names)
 
     return base.mapInArrow(work, T.StructType([*base.schema.fields, T.StructField("decoded", T.StringType())]))

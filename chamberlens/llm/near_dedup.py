@@ -24,6 +24,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -264,8 +265,8 @@ def _in_blocks(postings: DataFrame, members: DataFrame, match: int, percent: int
         found = _links(
             np.array([number[v] for v in labels]),
             table.column("block").to_numpy(),
-            [np.array(v, np.int64) for v in table.column("signature").to_pylist()],
-            [np.array(v, np.int64) for v in table.column("shingles").to_pylist()],
+            _arrays(table.column("signature")),
+            _arrays(table.column("shingles")),
             match,
             percent,
         )
@@ -275,6 +276,10 @@ def _in_blocks(postings: DataFrame, members: DataFrame, match: int, percent: int
     return groups.groupBy("token", "one", "two").applyInArrow(compare, f"a {label}, b {label}").distinct()
 
 
+def _arrays(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    return [row for chunk in lists.chunks for row in np.split(chunk.flatten().to_numpy(), np.cumsum(pc.list_value_length(chunk).to_numpy())[:-1])]
+
+
 def _common(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """How many elements each of the ``rows`` shares with each of the ``columns``, by
     products of incidence matrices over the elements that occur more than once."""

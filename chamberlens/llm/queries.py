@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from chamberlens.llm.bpe import decode, encode
+from chamberlens.llm.bpe import encode
 from chamberlens.llm.chat_format import DELTA, EDIT, OPEN, REGENERATE, fold_events, read_back, render
 from chamberlens.llm.decontaminate import find_contamination
 from chamberlens.llm.language_id import fit_languages, identify_language
@@ -130,20 +130,20 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode(docs, path).drop("text")
-    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
-    hashed = encoded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), digest(numbers).alias("ids_sha256"))
-    decoded = decode(hashed, path)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", digest(F.col("decoded")).alias("decoded_sha256"))
+    return encode(docs, vocabulary_path(), decoded=True).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold_of("doc_id", 5) == 0
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
-    model = fit_quality(docs.join(labels, "doc_id"))
+    model = fit_quality(docs, labels)
     return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chamberlens.llm.bpe import decode, encode
+from chamberlens.llm.bpe import encode
 from chamberlens.llm.decontaminate import find_contamination
 from chamberlens.llm.language_id import UNKNOWN, fit_languages, identify_language
 from chamberlens.llm.line_dedup import line_dedup
@@ -48,9 +48,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
-    path = vocabulary_path()
-    decoded = decode(encode(docs, path), path)
-    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
+    encoded = encode(docs, vocabulary_path(), decoded=True)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

@@ -76,7 +76,9 @@ def test_forgetting_changes_nothing(library, monkeypatch):
 def test_documents_in_spark(spark, small, library):
     path = vocabulary_path()
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    at_once = {r["doc_id"]: r["decoded"] for r in encode(docs, path, decoded=True).collect()}
     for r in decode(encode(docs, path), path).collect():
+        assert at_once[r["doc_id"]] == r["decoded"]
         told = library.encode(r["text"] or "", add_special_tokens=False)
         assert list(r["ids"]) == told.ids
         assert r["decoded"] == library.decode(told.ids, skip_special_tokens=False)
