@@ -59,15 +59,15 @@ def test_one_language_and_lone_families():
 
 def test_awkward_texts_for_quality(spark, small, docs_of):
     docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
-    labelled = docs.join(labels, "doc_id")
-    model = fit_quality(labelled)
+    model = fit_quality(docs, labels)
     rows = [(1, None), (2, ""), (3, "word " * 300_000), (4, "BUY!! NOW!! "), (4, "BUY!! NOW!! ")]
     df = docs_of(rows).selectExpr("*", "'x' AS score", "'y' AS PREDICTED")
     got = score_quality(df, model).collect()
     assert len(got) == 5 and all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in got)
     assert len({r["score"] for r in got if r["doc_id"] in (1, 2)}) == 1
-    assert fit_quality(labelled.where("quality = 1")) is None and fit_quality(labelled.where("false")) is None
-    assert fit_quality(labelled.withColumn("quality", F.lit(None).cast("int"))) is None
+    assert fit_quality(docs, labels.where("quality = 1")) is None and fit_quality(docs, labels.where("false")) is None
+    assert fit_quality(docs, labels.withColumn("quality", F.lit(None).cast("int"))) is None
+    assert fit_quality(docs.where("false"), labels) is None
     assert [tuple(r) for r in score_quality(docs_of([(1, "a")]), None).select("score", "predicted").collect()] == [(0.5, 1)]
 
 
