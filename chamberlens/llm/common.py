@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Hashes are drawn from 0 to this number, so that small shares of large tables stay exact.
+DRAWS = 1 << 62
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
 
@@ -38,3 +40,13 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
 def in_letters(c: Column) -> Column:
     """True when the text holds a letter of any script."""
     return F.coalesce(c, F.lit("")).rlike(r"\p{L}")
+
+
+def draw_of(*columns: Column) -> Column:
+    """A hash of the columns, from 0 to below ``DRAWS``."""
+    return F.pmod(F.xxhash64(*columns), F.lit(DRAWS))
+
+
+def draw_limit(wanted: int, size: int) -> int:
+    """Of ``size`` rows about ``wanted``, and never fewer on average, have a draw below this."""
+    return min(DRAWS, -(-wanted * DRAWS // size))

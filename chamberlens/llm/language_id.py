@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from chamberlens.llm.common import free_names, in_letters, without
+from chamberlens.llm.common import draw_limit, draw_of, free_names, in_letters, without
 from chamberlens.llm.grams import byte_table, gram_counts, linear_svm, packed, platt, root_shares, sigmoid, unpacked
 
 #: Languages by family; a language that is not listed is a family of its own.
@@ -85,14 +85,14 @@ def fit_languages(
     driver. Rows without language or letters are not used; None if nothing is left.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & in_letters(F.col(text_col))).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(key_col), F.lit(1 << 20)).alias("draw")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw_of(F.col(key_col)).alias("draw")
     )
     sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not sizes:
         return None
     chosen = None
     for row in sizes:
-        drawn = (F.col("lang") == row["lang"]) & (F.col("draw") < int(min(1.0, per_language / row["count"]) * (1 << 20)))
+        drawn = (F.col("lang") == row["lang"]) & (F.col("draw") < draw_limit(per_language, row["count"]))
         chosen = drawn if chosen is None else chosen | drawn
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +104,8 @@ def fit_languages(
             )
 
     rows = usable.where(chosen).select("lang", "text").mapInArrow(pack, "lang string, at binary, value binary").collect()
+    if not rows:
+        raise RuntimeError("rows with a language exist, but none was drawn to learn from")
     rows = sorted(rows, key=lambda r: (r["lang"], r["at"], r["value"]))
     return _fitted(unpacked([(r["at"], r["value"]) for r in rows], 1 << BITS), np.array([r["lang"] for r in rows]))
 
