@@ -83,16 +83,70 @@ LICENCE_RULES = (
     ("CC0-1.0", ("cc0",)),
 )
 
-#: A line break before a lower-case letter, past comment marks, does not end a sentence.
+#: A line break before a lower-case letter, past comment marks, does not end a line either.
 SOFT_BREAK = r"\n[ \t]*(?:#+|//+|\*+|--+|;+)?[ \t]*([a-z])"
 SENTENCE_END = r"[.!?]+(?:\s+|$)"
 NOT_WORD = r"[^a-z0-9]+"
+#: Sentences are told apart by this character until they are split; lines within them stay.
+_END = "\x1e"
+_MARK = r"[ \t]*(?:#+|//+|\*+|--+|;+)?[ \t]*"
+#: What ends a sentence besides its mark: blank lines and the numbers of list items.
+_BLANK_LINES = rf"\r?\n(?:{_MARK}\r?\n)+"
+_LIST_ITEM = rf"\n{_MARK}(?:\(?[0-9]{{1,2}}[.)]|\([a-z]\)|[-\u2022])[ \t]+"
+_VERSION_DOT = r"(?i)\b(v|ver)\.(?=\s{0,9}\d)"
+_SENTENCE_MARK = rf"[.!?]+(?:[\s{_END}]+|$)"
+#: Characters that may stand before a known sentence in its first line, and the words up to which one is a title.
+LEAD_IN, TITLE_WORDS = 40, 4
+_LINES_BACK = 120
 
 
 def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "))
 
 
+def _lines(sentence: Column) -> Column:
+    """Normalised lines, each word after a blank, without those that hold no word."""
+    lines = F.transform(F.split(sentence, "\n", -1), lambda w: F.concat(F.lit(" "), normalised(w)))
+    return F.filter(lines, lambda w: w != " ")
+
+
+def _known_in(lines: Column, sentences: Mapping[str, str]) -> Column:
+    """Identifiers in one sentence, given by its lines.
+
+    From the last line back, the longest known sentence that ends with a line counts if it
+    begins a line or, unless it is as short as a title, follows a short lead-in in a line.
+    """
+    ordered = sorted(sentences.items(), key=lambda x: -len(x[1]))
+    longest_first = F.array(*[
+        F.struct(F.lit(i).alias("id"), F.lit(f" {s}").alias("words"), F.lit(LEAD_IN if s.count(" ") >= TITLE_WORDS else 0).alias("room"))
+        for i, s in ordered
+    ])
+
+    def fitting(j: Column, s: Column) -> Column:
+        back = F.sequence(F.lit(1), F.least(j, F.lit(_LINES_BACK)))
+        runs = F.transform(back, lambda k: F.struct(k.alias("k"), F.array_join(F.slice(lines, j - k + 1, k), "").alias("words")))
+        size = F.char_length(s["words"])
+        run = F.get(F.filter(runs, lambda r: F.char_length(r["words"]) >= size), F.lit(0))
+        fits = F.endswith(run["words"], s["words"]) & (F.char_length(run["words"]) <= size + s["room"])
+        return F.struct(s["id"].alias("id"), F.when(fits, run["k"]).alias("k"))
+
+    def ending(j: Column) -> Column:
+        line = F.element_at(lines, j)
+        maybe = F.filter(longest_first, lambda s: F.endswith(line, s["words"]) | F.endswith(s["words"], line))
+        return F.get(F.filter(F.transform(maybe, lambda s: fitting(j, s)), lambda hit: hit["k"].isNotNull()), F.lit(0))
+
+    def step(state: Column, j: Column) -> Column:
+        def add(hit: Column) -> Column:
+            more = F.struct((j - hit["k"]).alias("free"), F.concat(F.array(hit["id"]), state["ids"]).alias("ids"))
+            return F.when(hit.isNull(), state).otherwise(more)
+
+        return F.when(j > state["free"], state).otherwise(F.get(F.transform(F.array(ending(j)), add), F.lit(0)))
+
+    start = F.struct(F.size(lines).alias("free"), F.array().cast("array<string>").alias("ids"))
+    places = F.reverse(F.transform(lines, lambda w, i: i + 1))
+    return F.aggregate(places, start, step, lambda state: state["ids"])
+
+
 def scan_licenses(
     docs: DataFrame,
     text_col: str = "text",
@@ -101,7 +155,8 @@ def scan_licenses(
 ) -> DataFrame:
     """The documents with ``sentence_ids``, ``licenses`` and ``n_unexplained``.
 
-    ``sentence_ids`` are the known sentences of the whole text in order; ``licenses`` the
+    A sentence ends with its mark, at a blank line or before a list item, not where a line
+    wraps. ``sentence_ids`` are the known sentences of the whole text in order; ``licenses`` the
     distinct licences in the order of the rules. Each rule takes every place where its
     identifiers stand in a row, and what it took is closed to later rules.
     ``n_unexplained`` counts sentences that no rule took. Null and empty texts have none.
@@ -110,15 +165,13 @@ def scan_licenses(
     """
     base = without(docs, "sentence_ids", "licenses", "n_unexplained")
     parts, found = free_names(base, "_parts", "_found")
-    joined = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SOFT_BREAK, " $1")
-    pieces = F.split(F.regexp_replace(joined, SENTENCE_END, "\n"), "\n", -1)
-    shortest, longest = min(map(len, sentences.values())), max(map(len, sentences.values()))
+    text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(_END), F.lit(" "))
+    for pattern, by in ((_VERSION_DOT, "$1 "), (_BLANK_LINES, _END), (_LIST_ITEM, _END), (SOFT_BREAK, " $1"), (_SENTENCE_MARK, _END)):
+        text = F.regexp_replace(text, pattern, by)
+    shortest = min(map(len, sentences.values()))
     cues = r"(?i)licen[sc]|copyright|warrant|permi|redistribut|modif|rights|mozilla"
-    likely = F.filter(pieces, lambda s: (F.char_length(s) >= shortest) & s.rlike(cues))
-    known = F.create_map(*[F.lit(x) for i, s in sentences.items() for x in (s, i)])
-    texts = F.transform(likely, normalised)
-    fitting = F.filter(texts, lambda s: F.char_length(s) <= longest)
-    ids = F.filter(F.transform(fitting, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & s.rlike(cues))
+    ids = F.flatten(F.transform(F.transform(likely, _lines), lambda lines: _known_in(lines, sentences)))
 
     written = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_row(seq)).alias("row")) for name, seq in rules])
     start = F.struct(F.col(found)["row"].alias("row"), F.array().cast("array<string>").alias("names"))
