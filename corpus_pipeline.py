@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chamberlens.llm.bpe import encode
+from chamberlens.llm.common import in_letters
 from chamberlens.llm.decontaminate import find_contamination
 from chamberlens.llm.language_id import UNKNOWN, fit_languages, identify_language
 from chamberlens.llm.line_dedup import line_dedup
@@ -22,8 +23,15 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language cannot be told: null or without letters."""
-    found = identify_language(docs, fit_languages(docs))
+    """Drop the documents whose language cannot be told: null or without letters.
+
+    That is all the model can reject, as it gives any text with letters one of the
+    languages learned. Where no row has a language to learn from, letters alone decide.
+    """
+    model = fit_languages(docs)
+    if model is None:
+        return docs.where(in_letters(F.col("text")))
+    found = identify_language(docs, model)
     return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 

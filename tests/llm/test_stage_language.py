@@ -1,0 +1,18 @@
+"""The pipeline's first stage where there is nothing to learn from."""
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+
+def test_lettered_documents_stay_when_no_language_is_known(spark, small, docs_of):
+    rows = [(1, None), (2, ""), (3, "12 34"), (4, "ordinary words"), (None, "more words"), (5, "\u6587\u5b57")]
+    docs = docs_of(rows).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, docs, small)
+    assert kept.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r["lang"]) for r in kept.collect()} == {(i, t, None) for i, t in rows[3:]}
+
+
+def test_the_model_rejects_no_lettered_document(spark, small, docs_of):
+    rows = [(1, "ordinary words"), (2, "andere W\u00f6rter"), (3, "\u6587\u5b57"), (4, "12"), (5, "a")]
+    kept = corpus_pipeline.known_language(spark, docs_of(rows * 2), small)
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 5}
