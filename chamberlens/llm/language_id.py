@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from chamberlens.llm.common import draw_limit, draw_of, free_names, in_letters, without
 from chamberlens.llm.grams import byte_table, gram_counts, linear_svm, packed, platt, root_shares, sigmoid, unpacked
@@ -79,32 +79,46 @@ class LanguageModel:
 def fit_languages(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", per_language: int = 500, most_languages: int = 200
 ) -> LanguageModel | None:
-    """Fit on about ``per_language`` rows of each language, chosen by a hash of ``key_col``.
+    """Fit on ``per_language`` rows of each language, or all if there are fewer, chosen by
+    a hash of ``key_col`` and text together.
 
     That and ``most_languages`` (the commonest are learned) bound what reaches the
-    driver. Rows without language or letters are not used; None if nothing is left.
+    driver, however often a key occurs. Equal rows count once. Rows without language or
+    letters are not used; None if nothing is left.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & in_letters(F.col(text_col))).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw_of(F.col(key_col)).alias("draw")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw_of(F.col(key_col), F.col(text_col)).alias("draw")
     )
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counted = usable.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("draw").alias("different"))
+    sizes = counted.orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not sizes:
         return None
     chosen = None
-    for row in sizes:
-        drawn = (F.col("lang") == row["lang"]) & (F.col("draw") < draw_limit(per_language, row["count"]))
+    for row in sizes:  # twice as many and more, as the number of different rows is estimated
+        drawn = (F.col("lang") == row["lang"]) & (F.col("draw") < draw_limit(2 * per_language + 100, row["different"]))
         chosen = drawn if chosen is None else chosen | drawn
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            rows = [packed(features(t)) for t in batch.column(1).to_pylist()]
+            langs, texts, draws = (c.to_pylist() for c in batch.columns)
+            fresh = [i for i, row in enumerate(zip(langs, draws)) if row not in seen and not seen.add(row)]
+            rows = [packed(features(texts[i])) for i in fresh]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
-                names=["lang", "at", "value"],
+                [
+                    pa.array([langs[i] for i in fresh], pa.string()),
+                    pa.array([draws[i] for i in fresh], pa.int64()),
+                    pa.array([r[0] for r in rows], pa.binary()),
+                    pa.array([r[1] for r in rows], pa.binary()),
+                ],
+                names=["lang", "draw", "at", "value"],
             )
 
-    rows = usable.where(chosen).select("lang", "text").mapInArrow(pack, "lang string, at binary, value binary").collect()
-    if not rows:
+    rows = usable.where(chosen).mapInArrow(pack, "lang string, draw long, at binary, value binary")
+    smallest = F.dense_rank().over(Window.partitionBy("lang").orderBy("draw"))
+    rows = rows.withColumn("rank", smallest).where(F.col("rank") <= per_language).dropDuplicates(["lang", "draw"])
+    rows = rows.select("lang", "at", "value").collect()
+    if {r["lang"] for r in rows} != {r["lang"] for r in sizes}:
         raise RuntimeError("rows with a language exist, but none was drawn to learn from")
     rows = sorted(rows, key=lambda r: (r["lang"], r["at"], r["value"]))
     return _fitted(unpacked([(r["at"], r["value"]) for r in rows], 1 << BITS), np.array([r["lang"] for r in rows]))

@@ -18,3 +18,27 @@ def test_large_groups_are_still_learned(spark):
     assert fit_languages(many, per_language=3).languages == {"germanic": ["en"]}
     labels = many.select("doc_id", F.when(F.col("doc_id") < 9, 1).otherwise(0).alias("quality"))
     assert fit_quality(many, labels, sample=6, pairs=20) is not None
+
+
+def test_a_crowded_key_neither_fills_nor_outgrows_a_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr("chamberlens.llm.language_id._fitted", lambda x, y: taken.append(y.tolist()))
+    crowd = F.when(F.col("id") % 3 > 0, F.col("id"))  # a third of the rows has no key
+    lang = F.when(F.col("id") % 10 == 0, "de").otherwise("en")
+    docs = spark.range(30_000).select(crowd.alias("doc_id"), F.concat(F.lit("words "), "id").alias("text"), lang.alias("lang"))
+    copies = spark.range(20_000).selectExpr("CAST(null AS LONG) AS doc_id", "'the same words' AS text", "'en' AS lang")
+    fit_languages(docs.union(copies), per_language=100)
+    assert taken[0].count("en") == taken[0].count("de") == 100
+    fit_languages(copies, per_language=100)
+    assert taken[1] == ["en"]
+
+
+def test_a_crowded_labelled_key_counts_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr("chamberlens.llm.quality._fitted", lambda x, labels, share, pairs: taken.append(labels.tolist()))
+    texts = spark.range(6_000).select(F.greatest(F.lit(0), F.col("id") - 5_000).alias("doc_id"), F.concat(F.lit("words "), "id").alias("text"))
+    docs = texts.union(texts.where("doc_id < 3"))
+    labels = spark.range(1_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    fit_quality(docs, labels, sample=2_000)
+    fit_quality(docs, labels, sample=100)
+    assert [(t.count(0), t.count(1)) for t in taken] == [(500, 500), (50, 50)]
