@@ -1,8 +1,7 @@
 """The registered queries: every operator over the whole tables of a folder.
 
-Searches, folds, grids and feature lists are the full ones. How many trees a forest or a
-boosted model of a query has is set by the constants below, so that a check run stays
-short; the operators' own defaults are the full sizes.
+Searches, folds, grids, draws, feature lists and models are the full ones: the operators'
+own defaults, without a cap on depth.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from chamberlens.operators.metrics import compare_models, regression_metrics, un
 from chamberlens.operators.models import boost_estimator, fit, forest_estimator, linear_estimator, predict, standardize
 from chamberlens.operators.rank import coefficients, feature_importance, pareto, pareto_cut, smallest_sufficient
 from chamberlens.operators.sample import folds, holdout
-from chamberlens.operators.search import BOOST_GRID, FOREST_GRID, boost_params, draw_params, forest_params, random_search
+from chamberlens.operators.search import BOOST_DRAWS, BOOST_GRID, FOREST_DRAWS, FOREST_GRID, boost_params, draw_params, forest_params, random_search
 from chamberlens.operators.select import cumulative_selection
 from chamberlens.operators.stats import (
     column_extremes,
@@ -65,10 +64,8 @@ SELECTED = [
 PROBE_COLUMNS = [p for t in TRIPLETS for p in t]
 LINEITEM_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIGITS = 6
-# Sizes of the models that the queries fit, and draws of their searches.
-FOREST = {"trees": 10, "depth": 6}
-ROUNDS, BOOST_DEPTH = 6, 3
-SEARCH_TREES, SEARCH_ROUNDS, DRAWS = [3, 5], [2, 3], 2
+# Trees of the plainest forest and of those that the selection scores; others have the default.
+FEWER_TREES = 100
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -282,16 +279,16 @@ def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, **FOREST))[1]
+    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET))[1]
 
 
 def forest_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plainest forest: leaves of a single row, no further options."""
-    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, **FOREST, min_leaf=1))[1]
+    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, trees=FEWER_TREES, min_leaf=1))[1]
 
 
 def boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fitted(_stored(spark, sf_dir), boost_estimator(TARGET, rounds=ROUNDS, depth=BOOST_DEPTH), SELECTED)[1]
+    return fitted(_stored(spark, sf_dir), boost_estimator(TARGET), SELECTED)[1]
 
 
 def reg_boost_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,8 +302,8 @@ def reg_boost_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.transform(test).select(KEY, "yhat"))
 
 
-def _boosting(**options) -> RegularizedBoosting:
-    return RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET, **{"rounds": ROUNDS, "depth": BOOST_DEPTH, "rate": 0.3, **options})
+def _boosting() -> RegularizedBoosting:
+    return RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET)
 
 
 def reg_boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,7 +314,7 @@ def reg_boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
-    model, _ = fitted(aligned, forest_estimator(TARGET, **FOREST), columns)
+    model, _ = fitted(aligned, forest_estimator(TARGET), columns)
     return pareto(feature_importance(model.stages[-1], columns))
 
 
@@ -406,14 +403,14 @@ def _selection(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
     train, test = holdout(aligned, KEY)
-    full = fit(forest_estimator(TARGET, **FOREST), train, columns).stages[-1]
+    full = fit(forest_estimator(TARGET), train, columns).stages[-1]
     ranked = [r["variable"] for r in feature_importance(full, columns).collect()]  # one row per variable
     return cumulative_selection(train, test, ranked, estimator)
 
 
 def cumulative_selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All variables, ranked by a forest, each number of them scored by a smaller forest."""
-    return _selection(spark, sf_dir, forest_estimator(TARGET, trees=FOREST["trees"] // 2, depth=FOREST["depth"]))
+    return _selection(spark, sf_dir, forest_estimator(TARGET, trees=FEWER_TREES))
 
 
 def selection_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,33 +433,33 @@ def selection_cut_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smallest_sufficient(_linear_selection(spark, sf_dir))
 
 
-def random_search_forest(spark: SparkSession, sf_dir: str, trees: list[int] = SEARCH_TREES, draws: int = DRAWS) -> DataFrame:
-    """The whole search space but for the numbers of trees; all features, five folds."""
+def random_search_forest(spark: SparkSession, sf_dir: str, draws: int = FOREST_DRAWS) -> DataFrame:
+    """The whole search space; all features, five folds."""
     estimator = forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
     train, _ = holdout(aligned, KEY)
-    params = [forest_params(estimator, d) for d in draw_params({**FOREST_GRID, "n_estimators": trees}, draws)]
+    params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, draws)]
     return random_search(train, estimator, params, _features(aligned))[1]
 
 
-def random_search_boost(spark: SparkSession, sf_dir: str, rounds: list[int] = SEARCH_ROUNDS, draws: int = DRAWS) -> DataFrame:
-    estimator = RegularizedBoosting(inputCols=SELECTED, labelCol=TARGET)
+def random_search_boost(spark: SparkSession, sf_dir: str, draws: int = BOOST_DRAWS) -> DataFrame:
+    estimator = _boosting()
     train, _ = holdout(_stored(spark, sf_dir), KEY)
-    params = [boost_params(estimator, d) for d in draw_params({**BOOST_GRID, "n_estimators": rounds}, draws)]
+    params = [boost_params(estimator, d) for d in draw_params(BOOST_GRID, draws)]
     return random_search(train, estimator, params, SELECTED)[1]
 
 
 def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The forest as the other queries fit it against the best of a few draws."""
-    estimator = forest_estimator(TARGET, **FOREST)
+    """The forest as the other queries fit it against the best of the draws."""
+    estimator = forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
-    params = [forest_params(estimator, d) for d in draw_params({**FOREST_GRID, "n_estimators": [FOREST["trees"]]}, DRAWS)]
+    params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, FOREST_DRAWS)]
     return tuning_comparison(aligned, estimator, params, _features(aligned))[1]
 
 
 def boost_tuning_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimator = _boosting()
-    params = [boost_params(estimator, d) for d in draw_params({**BOOST_GRID, "n_estimators": [ROUNDS]}, DRAWS)]
+    params = [boost_params(estimator, d) for d in draw_params(BOOST_GRID, BOOST_DRAWS)]
     return tuning_comparison(_stored(spark, sf_dir), estimator, params, SELECTED)[1]
 
 
@@ -473,7 +470,7 @@ def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alignment_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = sensor_and_quality(spark, sf_dir)
-    return alignment_comparison(x, y, lambda: forest_estimator(TARGET, **FOREST))
+    return alignment_comparison(x, y, lambda: forest_estimator(TARGET))
 
 
 # --- partial dependence ------------------------------------------------------
@@ -503,7 +500,7 @@ def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
     train, _ = holdout(aligned, KEY)
-    forest = fit(forest_estimator(TARGET, **FOREST), train, columns).stages[-1]
+    forest = fit(forest_estimator(TARGET), train, columns).stages[-1]
     points = grid_values(train, columns)
     grids = {(c,): [(v,) for v in values] for c, values in points.items()}
     pair = ("T_data_3_1", "H_data")
