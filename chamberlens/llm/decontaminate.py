@@ -34,9 +34,16 @@ def words_of(text: str | None) -> list[bytes]:
     return WORD.findall((text or "").encode("utf-8", "replace").lower())
 
 
+def null_last(item: int | None) -> tuple[bool, int]:
+    return item is None, item or 0
+
+
 @dataclass
 class Phrases:
-    """The windows of a block of benchmark items, as numbers of its vocabulary."""
+    """The windows of a block of benchmark items, as numbers of its vocabulary.
+
+    An owner is a place in ``item_ids``; the place behind the last is the item without id.
+    """
 
     vocabulary: dict[bytes, int]
     windows: np.ndarray
@@ -46,10 +53,10 @@ class Phrases:
     item_ids: np.ndarray
 
     @classmethod
-    def of(cls, items: Iterable[tuple[int, str]], window: int) -> Phrases:
+    def of(cls, items: Iterable[tuple[int | None, str]], window: int) -> Phrases:
         """``window`` consecutive words; a shorter item, if it has a word, is one phrase."""
         vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
+        found: dict[tuple[int, ...], set[int | None]] = {}
         for item, text in items:
             numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
             for at in range(max(1, len(numbers) - window + 1) if numbers else 0):
@@ -57,14 +64,15 @@ class Phrases:
         windows = np.zeros((len(found), window), np.int64)
         for i, phrase in enumerate(found):
             windows[i, window - len(phrase) :] = phrase
-        pairs = [(i, item) for i, owned in enumerate(found.values()) for item in sorted(owned)]
-        ids = np.array(sorted({item for _, item in pairs}), np.int64)
+        pairs = [(i, item) for i, owned in enumerate(found.values()) for item in sorted(owned, key=null_last)]
+        ids = np.array(sorted({item for _, item in pairs} - {None}), np.int64)
+        place = {item: i for i, item in enumerate(ids.tolist())}
         return cls(
             vocabulary,
             windows,
             np.array([len(p) for p in found], np.int64),
             np.searchsorted([p for p, _ in pairs], np.arange(len(found) + 1)),
-            np.searchsorted(ids, np.array([item for _, item in pairs], np.int64)),
+            np.array([place.get(item, len(ids)) for _, item in pairs], np.int64),
             ids,
         )
 
@@ -75,7 +83,7 @@ class Hits:
 
     n_words: np.ndarray
     spans: list[list[tuple[int, int]]]
-    items: list[list[int]]
+    items: list[list[int | None]]
 
 
 def search_shard(texts: list[str | None], phrases: Phrases) -> Hits:
@@ -136,7 +144,7 @@ def search_shard(texts: list[str | None], phrases: Phrases) -> Hits:
     times = owned[pair[:, 1]]
     offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(phrases.owner_of[pair[:, 1]], times)
     for d, o in np.unique(np.stack([np.repeat(pair[:, 0], times), phrases.owners[offset]], 1), axis=0):
-        hits.items[d].append(int(phrases.item_ids[o]))
+        hits.items[d].append(int(phrases.item_ids[o]) if o < len(phrases.item_ids) else None)
     return hits
 
 
@@ -165,11 +173,11 @@ def cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     return b"".join(kept).decode("utf-8", "replace")
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """Benchmark items in blocks of bounded size; the driver holds one partition's items at a time."""
-    block: list[tuple[int, str]] = []
+    block: list[tuple[int | None, str]] = []
     size = 0
-    usable = benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    usable = benchmark.where(F.col(text_col).isNotNull())
     for row in usable.select(F.col(id_col).cast("bigint"), F.col(text_col)).toLocalIterator():
         block.append((row[0], row[1]))
         size += len(row[1])
@@ -197,8 +205,9 @@ def find_contamination(
     benchmark takes one stored pass per block, each adding to the spans and items so far.
     A shard closes at ``shard_bytes`` of text; one longer document is a shard by itself.
 
-    A null text has no words; a benchmark row without id, text or words is no item. Rows
-    with the same item id are one item with all their phrases. Repeated documents are
+    A null text has no words; a benchmark row without text or words is no item. Rows with
+    the same item id are one item with all their phrases, and so are those without an id,
+    which stand last in ``items``, as null. Repeated documents are
     searched row by row. Input columns with the names of the results are replaced.
     """
     base = without(docs, "n_words", "spans", "n_hit", "items")
@@ -238,7 +247,7 @@ def _searched(found: DataFrame, phrases: Phrases, text_col: str, shard_bytes: in
                 spans, items = hits.spans, hits.items
                 earlier = shard.column(spans_at).to_pylist(), shard.column(items_at).to_pylist()
                 spans = [merged([*s, *((x["first"], x["last"]) for x in old)]) for s, old in zip(spans, earlier[0])]
-                items = [sorted({*i, *old}) for i, old in zip(items, earlier[1])]
+                items = [sorted({*i, *old}, key=null_last) for i, old in zip(items, earlier[1])]
                 columns["spans"] = pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], span_type)
                 columns["items"] = pa.array(items, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
