@@ -193,6 +193,38 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20
 """
 
+_CRC_STEP = "list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, b))"
+_CRC = f"xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda crc, b: {_CRC_STEP}, 4294967295::BIGINT), 4294967295)"
+PREFIX_TRIE = rf"""
+WITH conv AS (
+  SELECT conv_id, {_CRC} % 4 AS h,
+         list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(CASE WHEN c.h > 0 THEN b.turns[1:c.h] END, c.turns[c.h + 1:]) AS path
+  FROM conv c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 20
+), member AS (
+  SELECT conv_id, d, CASE WHEN d > 0 THEN path[1:d] ELSE [] END AS prefix, d = len(path) AS ends,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-]+')) ELSE 0 END AS words
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+  FROM member GROUP BY prefix, d
+), family AS (
+  SELECT CASE WHEN d > 1 THEN prefix[1:d - 1] ELSE [] END AS prefix, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL
+), subtree AS (
+  SELECT CASE WHEN k > 0 THEN prefix[1:k] ELSE [] END AS prefix, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT n.prefix, f.prefix IS NULL AS leaf, (n_convs - 1) * words AS saved, unnest(range(0, d + 1)) AS k
+        FROM node n LEFT JOIN family f ON f.prefix = n.prefix) GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN subtree s ON s.prefix = n.prefix LEFT JOIN family f ON f.prefix = n.prefix
+LEFT JOIN node p ON p.d = n.d - 1 AND p.prefix = CASE WHEN n.d > 1 THEN n.prefix[1:n.d - 1] ELSE [] END
+"""
+
 LLM_ORACLES = {
     "op2_decontamination": DECONTAMINATION,
     "op3_url_filter": URL_FILTER,
@@ -201,4 +233,5 @@ LLM_ORACLES = {
     "op6_near_dedup": NEAR_DEDUP,
     "op7_line_dedup": LINE_DEDUP,
     "op10_top_k": TOP_K,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

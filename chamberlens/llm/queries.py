@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from chamberlens.llm.bpe import encode
 from chamberlens.llm.chat_format import DELTA, EDIT, OPEN, REGENERATE, fold_events, read_back, render
 from chamberlens.llm.decontaminate import find_contamination
+from chamberlens.llm.fingerprint import compare_with_next
 from chamberlens.llm.language_id import fit_languages, identify_language
 from chamberlens.llm.license_scan import scan_licenses
 from chamberlens.llm.line_dedup import line_dedup
 from chamberlens.llm.near_dedup import near_duplicates
+from chamberlens.llm.prefix_trie import prefix_trie
 from chamberlens.llm.quality import fit_quality, score_quality
 from chamberlens.llm.top_k import top_k
 from chamberlens.llm.url_filter import filter_urls, host_of, path_of
+from chamberlens.llm.whitening import fit_whitening, whiten
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -152,6 +155,20 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors)).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compare_with_next(table(spark, sf_dir, "documents"))
+    return found.withColumn("edited_sha256", digest(F.col("edited"))).drop("edited")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -171,6 +188,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_quality,
         op10_top_k,
+        op11_whitening,
+        op12_fingerprints,
+        op13_prefix_trie,
         pipeline,
     )
 }

@@ -1,0 +1,135 @@
+"""The trie of rebuilt conversations against a plain one."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from chamberlens.llm import prefix_trie as module
+from chamberlens.llm.prefix_trie import Product, ordered_turns, prefix_trie, turn
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "n_ends", "ends_sha256"]
+
+
+def told(role, text):
+    return f"{len(role.encode())}:{role}{text}".encode()
+
+
+def brute(rows, group=20, heads=4):
+    convs = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((t is not None, t or 0, role or "", hashlib.sha256(told(role or "", text or "")).digest()[:16], text or ""))
+    turns = {c: [(r[2], r[4]) for r in sorted(ts)] for c, ts in convs.items()}
+    members = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - (c % group if c >= 0 else -(-c % group))
+        path = turns.get(base, [])[:h] + own[h:]
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append((c, d == len(path)))
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    below = {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves, saved = (1 if node not in children else 0), 0
+        if node:
+            saved = (len(members[node]) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1]))
+        for child in children.get(node, ()):
+            leaves, saved = leaves + below[child][0], saved + below[child][1]
+        below[node] = (leaves, saved)
+    found = []
+    for node, held in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c, end in held if end))
+        parent = min(c for c, _ in members[node[:-1]]) if node else None
+        found.append(
+            (min(c for c, _ in held), len(node), parent, len(held), len(children.get(node, ())), *below[node],
+             sum(end for _, end in held), hashlib.sha256(ends.encode()).hexdigest())
+        )
+    return sorted(found, key=str)
+
+
+def run(df, **options):
+    return sorted((tuple(r) for r in prefix_trie(df, **options).select(COLUMNS).collect()), key=str)
+
+
+def test_products_are_a_monoid():
+    draw = random.Random(1)
+    a, b, c = (turn(draw.randbytes(16), module.BASES[0]) for _ in range(3))
+    assert a.then(b).then(c) == a.then(b.then(c))
+    assert Product().then(a) == a == a.then(Product())
+    assert a.then(b) != b.then(a)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_a_plain_trie(spark, conf, seed):
+    conf("spark.sql.shuffle.partitions", str(3 + 4 * seed))
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    draw = random.Random(seed)
+    texts = ["", "one", "two words", "\tthree  spaced\nwords ", None]
+    rows = []
+    for c in [*range(60), -7, -20, -25, 400, 405, 819]:
+        if draw.random() < 0.85:
+            for t in range(draw.choice([1, 1, 2, 3, 4, 5, 8])):
+                rows.append((c, draw.choice([t, t, None]), draw.choice(["user", "assistant", None]), draw.choice(texts)))
+    draw.shuffle(rows)
+    assert run(spark.createDataFrame(rows, SCHEMA).repartition(4)) == brute(rows)
+
+
+def test_long_conversations_cross_partitions(spark, conf):
+    conf("spark.sql.shuffle.partitions", "9")
+    long = [(20, t, "user", f"turn {t % 7}") for t in range(1500)]
+    rows = long + [(23, *r[1:]) for r in long[:1200]] + [(0, 0, "user", "a b"), (3, 0, "user", "a b")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert run(df) == brute(rows)
+    sizes = ordered_turns(df, 20).rdd.glom().map(len).collect()
+    assert max(sizes) < 1000
+
+
+def test_copies_of_one_conversation_and_of_one_row(spark, conf):
+    conf("spark.sql.shuffle.partitions", "5")
+    rows = [(c, t, "user", f"common {t}") for c in range(400) for t in range(4)] + [(7, 3, "user", "common 3")] * 300
+    assert run(spark.createDataFrame(rows, SCHEMA).repartition(4)) == brute(rows)
+
+
+def test_nulls_empty_and_turnless(spark):
+    assert run(spark.createDataFrame([], SCHEMA)) == []
+    assert run(spark.createDataFrame([(None, 1, "user", "x")], SCHEMA)) == []
+    alone = [c for c in range(1, 20) if zlib.crc32(str(c).encode()) % 4 >= 1][0]
+    rows = [(alone, 0, "user", "dropped, as the base is absent"), (None, 0, "a", "b")]
+    got = run(spark.createDataFrame(rows, SCHEMA))
+    assert got == brute(rows) and len(got) == 1 and got[0][:6] == (alone, 0, None, 1, 0, 1)
+    rows = [(5, None, None, None), (5, None, None, None), (0, 1, "", "")]
+    assert run(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+
+
+def test_other_groups_and_heads(spark):
+    draw = random.Random(9)
+    rows = [(c, t, "user", draw.choice(["a", "b c"])) for c in range(30) for t in range(draw.randint(1, 7))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert run(df, group=7, heads=6) == brute(rows, 7, 6)
+    assert run(df, group=5, heads=1) == brute(rows, 5, 1)
+
+
+def test_long_texts_and_clashing_columns(spark):
+    rows = [(c, t, "user", f"w{t} " * 50_000) for c in (0, 1, 2) for t in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("base", "conv", "place", "node", "depth", "reference", "words", "ends", "owner", "_group", "saved"):
+        df = df.selectExpr("*", f"'x' AS `{name}`")
+    assert run(df) == brute(rows)
+
+
+def test_a_collision_is_seen_and_answered(spark, monkeypatch):
+    """Under the base 0 a prefix is known by its last turn alone, so different prefixes
+    collide, and the next base is taken."""
+    monkeypatch.setattr(module, "BASES", (0, *module.BASES))
+    rows = [(0, 0, "user", "a"), (0, 1, "user", "z"), (40, 0, "user", "b"), (40, 1, "user", "z"), (60, 0, "user", "b")]
+    assert run(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+    monkeypatch.setattr(module, "BASES", (0,))
+    with pytest.raises(ArithmeticError):
+        run(spark.createDataFrame(rows, SCHEMA))

@@ -1,0 +1,136 @@
+"""Whitening against numpy's own eigenvalues, and the awkward inputs."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from chamberlens.llm.queries import LLM_QUERIES
+from chamberlens.llm.whitening import above, fit_whitening, leading_pairs, whiten
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, components=4):
+    """{(id, component): (n, deviation, whitened, explained)} by exact sums and eigh."""
+    used = [(i, v) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    ints = [(i, tuple(math.floor(256 * float(np.float32(x))) for x in v)) for i, v in used]
+    fit = sorted({v for _, v in ints})
+    n, d = len(fit), len(fit[0])
+    sums = [sum(v[j] for v in fit) for j in range(d)]
+    mean = np.array(sums) / n
+    centred = np.array(fit) - mean
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    found = {}
+    for i, v in ints:
+        deviation = sum((n * x - s) ** 2 for x, s in zip(v, sums))
+        projected = (np.array(v) - mean) @ vectors / np.sqrt(values)
+        for j in range(len(values)):
+            found[i, j + 1] = (n, deviation, projected[j], values[j] / np.trace(covariance))
+    return found
+
+
+def run(df, **options):
+    return whiten(df, fit_whitening(df, **options)).collect()
+
+
+def compared(got, want):
+    assert {(r["vec_id"], r["component"]) for r in got} == set(want)
+    signs = {}
+    for r in got:
+        n, deviation, whitened, explained = want[r["vec_id"], r["component"]]
+        assert r["n"] == n and int(r["deviation"]) == deviation
+        assert r["explained"] == pytest.approx(explained, rel=1e-9)
+        if abs(whitened) > 1e-6:
+            signs.setdefault(r["component"], np.sign(r["whitened"] * whitened))
+        assert r["whitened"] * signs.get(r["component"], 1) == pytest.approx(whitened, abs=1e-7)
+        assert r["identity_error"] < 1e-9
+
+
+def test_matches_eigh_with_copies_nulls_and_infinities(spark, conf):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    draw = random.Random(1)
+    rows = [(i, [draw.gauss(0, 1 + j) for j in range(9)]) for i in range(120)]
+    rows += [(200 + i, rows[0][1]) for i in range(60)]
+    df = spark.createDataFrame(
+        [*rows, (1, None), (2, [None] * 9), (3, [float("nan")] * 9), (4, [float("inf")] * 9)], SCHEMA
+    ).repartition(5)
+    compared(run(df), brute(rows))
+
+
+def test_the_query_matches_eigh(spark, small):
+    table = spark.read.parquet(f"{small}/embeddings.parquet")
+    want = brute([(r["vec_id"], r["embedding"]) for r in table.collect()])
+    compared(LLM_QUERIES["op11_whitening"](spark, small).collect(), want)
+
+
+@pytest.mark.parametrize("d", [1, 2, 5, 40])
+def test_slices_clusters_and_ranks(d):
+    noise = np.random.default_rng(d)
+    turned, _ = np.linalg.qr(noise.standard_normal((d, d)))
+    for values in (np.arange(d, 0, -1.0), np.full(d, 3.0), np.r_[np.full(min(d, 3), 7.0), np.zeros(max(d - 3, 0))], 10.0 ** -np.arange(d)):
+        matrix = turned * values[:d] @ turned.T
+        matrix = (matrix + matrix.T) / 2
+        exact = np.linalg.eigvalsh(matrix)[::-1]
+        k = min(d, 4)
+        found, vectors = leading_pairs(matrix, k)
+        assert found == pytest.approx(exact[:k], abs=1e-12 * exact[0])
+        assert np.abs(vectors @ vectors.T - np.eye(k)).max() < 1e-12
+        assert np.abs(matrix @ vectors.T - vectors.T * found).max() < 1e-11 * exact[0]
+    for shift in (0.5, 2.5, d - 0.5):
+        assert above(np.diag(np.arange(1.0, d + 1)), shift) == sum(v > shift for v in range(1, d + 1))
+
+
+def test_indefinite_pivots_count_right():
+    noise = np.random.default_rng(5)
+    for _ in range(20):
+        m = noise.standard_normal((12, 12))
+        m = m + m.T
+        np.fill_diagonal(m, 0.0)  # forces pivots of order two
+        assert above(m, 0.0) == (np.linalg.eigvalsh(m) > 0).sum()
+
+
+def test_equal_vectors_and_single_rows_have_no_whitened_form(spark):
+    df = spark.createDataFrame([(1, [0.5, 0.25]), (2, [0.5, 0.25]), (None, [0.5, 0.25])], SCHEMA)
+    got = run(df)
+    assert len(got) == 6
+    assert {(r["n"], int(r["deviation"]), r["whitened"], r["explained"]) for r in got} == {(1, 0, None, None)}
+
+
+def test_components_without_variance_stay_null(spark):
+    df = spark.createDataFrame([(i, [float(i), 2.0 * i, 1.0]) for i in range(20)], SCHEMA)
+    got = run(df)
+    assert {r["component"] for r in got if r["whitened"] is not None} == {1}
+    assert len(got) == 60 and all(r["identity_error"] < 1e-9 for r in got)
+
+
+def test_other_lengths_keep_their_rows(spark):
+    rows = [(i, [float(i % 5), float(i % 3)]) for i in range(20)]
+    df = spark.createDataFrame([*rows, (90, [1.0]), (91, []), (92, [1.0, 2.0, 3.0])], SCHEMA)
+    got = run(df)
+    odd = [r for r in got if r["vec_id"] >= 90]
+    assert len(odd) == 6 and all(r["deviation"] is None and r["whitened"] is None and r["n"] == 15 for r in odd)
+    compared([r for r in got if r["vec_id"] < 90], brute(rows))
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert run(empty) == [] and whiten(empty, None).columns[0] == "vec_id"
+    assert run(spark.createDataFrame([(1, None), (2, [])], SCHEMA)) == []
+    df = spark.createDataFrame([(i, [float(i), float(i * i)]) for i in range(9)], SCHEMA)
+    for name in ("id", "x", "n", "component", "i", "products", "ID"):
+        df = df.selectExpr("*", f"'x' AS `{name}_`" if name == "ID" else f"'x' AS `{name}`")
+    assert len(run(df)) == 18
+
+
+def test_entries_beyond_any_long(spark):
+    df = spark.createDataFrame([(1, [3e38, 1.0]), (2, [-3e38, 2.0]), (3, [0.0, 3.0])], SCHEMA)
+    got = run(df)
+    assert len(got) == 6
+    ints = {1: 2**63 - 1, 2: -(2**63), 3: 0}
+    for r in got:
+        deviation = (3 * ints[r["vec_id"]] + 1) ** 2 + (3 * 256 * r["vec_id"] - 256 * 6) ** 2
+        assert r["deviation"] is None if deviation >= 10**38 else int(r["deviation"]) == deviation
