@@ -8,9 +8,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 
 from chamberlens.functions.columns import quoted, rewritten, with_facts
+from chamberlens.operators.forest import DeepForest
 
 FEATURES = "features"
-# Spark ML grows trees to at most this depth; "unlimited" is mapped to it.
+# Spark ML grows trees to at most this depth; "unlimited" is mapped to it there.
 DEEPEST = 30
 
 
@@ -66,6 +67,11 @@ def forest_estimator(
     )
 
 
+def deep_forest_estimator(target: str = "quality", trees: int = 200, min_leaf: int = 2, **params) -> DeepForest:
+    """Random forest without a depth limit, with an exact least node size to split."""
+    return DeepForest(featuresCol=FEATURES, labelCol=target, predictionCol="yhat", numTrees=trees, minLeaf=min_leaf, **params)
+
+
 def boost_estimator(
     target: str = "quality",
     rounds: int = 300,

@@ -8,11 +8,11 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from chamberlens.operators.metrics import METRICS, regression_metrics, union_all
 from chamberlens.operators.models import FEATURES, assembler
 from chamberlens.operators.sample import folds
+from chamberlens.session import stored
 
 
 def cumulative_selection(
@@ -28,8 +28,9 @@ def cumulative_selection(
 ) -> DataFrame:
     """(n_vars, last_variable, r2, mae, rmse) of a model on the first n ranked variables.
 
-    The vectors are assembled once in rank order; each fit takes a prefix of them.
-    The fits are separate Spark jobs, submitted from a few driver threads. With
+    The vectors are assembled once in rank order; each fit takes a prefix of them. An
+    estimator that has ``prefix_metrics`` trains the models of all prefixes together; the
+    fits of others are separate Spark jobs, submitted from a few driver threads. With
     ``select_on="cv"`` the scores are means over k folds of ``train``, and ``test``
     stays unseen until a size is chosen.
     """
@@ -37,18 +38,23 @@ def cumulative_selection(
         raise ValueError("select_on must be 'test' or 'cv'")
     spark = train.sparkSession
     stage = assembler(ranked).setOutputCol("ranked")
+    columns = list(dict.fromkeys([*ranked, target, *([key] if select_on == "cv" else [])]))
     if select_on == "cv":
-        frames = [folds(train.select(*dict.fromkeys([*ranked, target, key])), key, k)]
+        divided = stored(stage.transform(folds(train.select(columns), key, k)).select("ranked", target, "fold"))
+        left_out = list(range(k))
     else:
-        frames = [train, test]
-    ready = [
-        stage.transform(f).select("ranked", target, *[c for c in f.columns if c == "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
-        for f in frames
-    ]
-    if select_on == "cv":
-        rounds = [(ready[0].where(F.col("fold") != i), ready[0].where(F.col("fold") == i)) for i in range(k)]
-    else:
-        rounds = [(ready[0], ready[1])]
+        parts = [frame.select(columns).withColumn("fold", F.lit(i)) for i, frame in enumerate((train, test))]
+        divided = stored(stage.transform(union_all(parts)).select("ranked", target, "fold"))
+        left_out = [1]
+    schema = "n_vars int, last_variable string, r2 double, mae double, rmse double"
+    if hasattr(estimator, "prefix_metrics"):
+        ready = divided.withColumnRenamed("ranked", FEATURES)
+        found = estimator.prefix_metrics(ready, "fold", left_out, list(range(1, len(ranked) + 1)))
+        rows = [
+            (n, ranked[n - 1], *(sum(s[m] for s in scores) / len(scores) for m in METRICS)) for n, scores in enumerate(found, start=1)
+        ]
+        return spark.createDataFrame(rows, schema).orderBy("n_vars")
+    rounds = [(divided.where(F.col("fold") != i), divided.where(F.col("fold") == i)) for i in left_out]
 
     @inheritable_thread_target(spark)
     def score(n: int) -> tuple:
@@ -60,10 +66,6 @@ def cumulative_selection(
         means = union_all(scores).agg(*[F.avg(m).alias(m) for m in METRICS]).first()
         return n, ranked[n - 1], *(means[m] for m in METRICS)
 
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(score, range(1, len(ranked) + 1)))
-    finally:
-        for frame in ready:
-            frame.unpersist()
-    return spark.createDataFrame(rows, "n_vars int, last_variable string, r2 double, mae double, rmse double").orderBy("n_vars")
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(score, range(1, len(ranked) + 1)))
+    return spark.createDataFrame(rows, schema).orderBy("n_vars")

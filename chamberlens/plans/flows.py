@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
 
 from chamberlens.functions.columns import numeric_columns
 from chamberlens.operators.align import exact_join, hourly_join, shift_time
@@ -16,6 +14,7 @@ from chamberlens.operators.metrics import compare_alignments, compare_models, re
 from chamberlens.operators.models import fit, predict
 from chamberlens.operators.sample import holdout
 from chamberlens.operators.search import random_search
+from chamberlens.session import stored
 
 KEY, TARGET = "date_time", "quality"
 
@@ -33,16 +32,6 @@ def aligned_hourly(x: DataFrame, y: DataFrame) -> DataFrame:
     return hourly_join(*prepare(x, y), KEY)
 
 
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Persist for the jobs inside the block; lost blocks are recomputed."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield held
-    finally:
-        held.unpersist()
-
-
 def fitted(aligned: DataFrame, estimator: Estimator, columns: list[str] | None = None, exact: bool = True) -> tuple[PipelineModel, DataFrame]:
     """Split, fit, and score the hold-out: (model, (date_time, y, yhat))."""
     columns = columns or numeric_columns(aligned, (KEY, TARGET))
@@ -63,10 +52,10 @@ def alignment_comparison(x: DataFrame, y: DataFrame, estimator_of: Callable[[],
     sensors, quality = prepare(x, y)
     scores = {}
     for label, aligned in (("exact", exact_join(sensors, quality, KEY)), ("hourly", hourly_join(sensors, quality, KEY))):
-        with kept(aligned) as held:
-            scored, n = evaluate(held, estimator_of(), label)
-            row = scored.collect()  # one row of metrics
-            rows = held.count()
+        held = stored(aligned)
+        scored, n = evaluate(held, estimator_of(), label)
+        row = scored.collect()  # one row of metrics
+        rows = held.count()
         scores[label] = (x.sparkSession.createDataFrame(row, scored.schema), n, rows)
     return compare_alignments(scores)
 

@@ -27,7 +27,15 @@ from chamberlens.operators.clean import (
 )
 from chamberlens.operators.explain import forest_dependence, grid_values, pdp_1d, pdp_2d
 from chamberlens.operators.metrics import compare_models, regression_metrics, union_all
-from chamberlens.operators.models import boost_estimator, fit, forest_estimator, linear_estimator, predict, standardize
+from chamberlens.operators.models import (
+    boost_estimator,
+    deep_forest_estimator,
+    fit,
+    forest_estimator,
+    linear_estimator,
+    predict,
+    standardize,
+)
 from chamberlens.operators.rank import coefficients, feature_importance, pareto, pareto_cut, smallest_sufficient
 from chamberlens.operators.sample import folds, holdout
 from chamberlens.operators.search import BOOST_DRAWS, BOOST_GRID, FOREST_DRAWS, FOREST_GRID, boost_params, draw_params, forest_params, random_search
@@ -279,12 +287,12 @@ def linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET))[1]
+    return fitted(_stored(spark, sf_dir), deep_forest_estimator(TARGET))[1]
 
 
 def forest_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plainest forest: leaves of a single row, no further options."""
-    return fitted(_stored(spark, sf_dir), forest_estimator(TARGET, trees=FEWER_TREES, min_leaf=1))[1]
+    return fitted(_stored(spark, sf_dir), deep_forest_estimator(TARGET, trees=FEWER_TREES, min_leaf=1))[1]
 
 
 def boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +322,7 @@ def reg_boost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
-    model, _ = fitted(aligned, forest_estimator(TARGET), columns)
+    model, _ = fitted(aligned, deep_forest_estimator(TARGET), columns)
     return pareto(feature_importance(model.stages[-1], columns))
 
 
@@ -403,14 +411,14 @@ def _selection(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     aligned = _stored(spark, sf_dir)
     columns = _features(aligned)
     train, test = holdout(aligned, KEY)
-    full = fit(forest_estimator(TARGET), train, columns).stages[-1]
+    full = fit(deep_forest_estimator(TARGET), train, columns).stages[-1]
     ranked = [r["variable"] for r in feature_importance(full, columns).collect()]  # one row per variable
     return cumulative_selection(train, test, ranked, estimator)
 
 
 def cumulative_selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All variables, ranked by a forest, each number of them scored by a smaller forest."""
-    return _selection(spark, sf_dir, forest_estimator(TARGET, trees=FEWER_TREES))
+    return _selection(spark, sf_dir, deep_forest_estimator(TARGET, trees=FEWER_TREES))
 
 
 def selection_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,7 +443,7 @@ def selection_cut_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def random_search_forest(spark: SparkSession, sf_dir: str, draws: int = FOREST_DRAWS) -> DataFrame:
     """The whole search space; all features, five folds."""
-    estimator = forest_estimator(TARGET)
+    estimator = deep_forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
     train, _ = holdout(aligned, KEY)
     params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, draws)]
@@ -451,7 +459,7 @@ def random_search_boost(spark: SparkSession, sf_dir: str, draws: int = BOOST_DRA
 
 def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forest as the other queries fit it against the best of the draws."""
-    estimator = forest_estimator(TARGET)
+    estimator = deep_forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
     params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, FOREST_DRAWS)]
     return tuning_comparison(aligned, estimator, params, _features(aligned))[1]
@@ -470,7 +478,7 @@ def alignment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alignment_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = sensor_and_quality(spark, sf_dir)
-    return alignment_comparison(x, y, lambda: forest_estimator(TARGET))
+    return alignment_comparison(x, y, lambda: deep_forest_estimator(TARGET))
 
 
 # --- partial dependence ------------------------------------------------------
