@@ -1,14 +1,15 @@
 """Importance tables, the Pareto cut and ordered coefficients.
 
-Every table here has one row per variable, that is, per column of the sensor
-table, so a window over the whole table is small by construction.
+The tables have one row per name: mostly a column of the sensor table, but the Pareto
+share takes any number of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chamberlens.functions.columns import share_of, with_facts
+from chamberlens.functions.running import running_sums
 
 # Fixed value: the share the Pareto rule asks for, in per cent.
 PARETO_SHARE = 80
@@ -34,18 +35,29 @@ def coefficients(model, names: list[str]) -> DataFrame:
 
 
 def pareto(df: DataFrame, variable: str = "variable", weight: str = "importance") -> DataFrame:
-    """Running share of the total in per cent, one decimal, half to even."""
-    order = Window.orderBy(F.desc(weight), variable)
-    running = F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum(weight).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.select(
-        F.row_number().over(order).alias("position"),
-        F.col(variable).alias("variable"),
-        F.col(weight).alias("importance"),
-        F.bround(share_of(running, total) * 100, 1).alias("cumul_pct"),
+    """Running share of the total in per cent, one decimal, half to even.
+
+    Any number of names: positions and sums run over ranges of the order, and the total
+    is a scalar subquery. Runs jobs when called.
+    """
+    named = df.select(F.col(variable).alias("variable"), F.col(weight).alias("importance"))
+    ordered = running_sums(named, {"position": F.lit(1), "_so_far": F.col("importance")}, [F.desc("importance"), F.asc("variable")])
+    total = ordered.agg(F.sum("importance").alias("total"))
+    return with_facts(ordered, total).select(
+        F.col("position").cast("int").alias("position"),
+        "variable",
+        "importance",
+        F.bround(share_of(F.col("_so_far"), F.col("_facts.total")) * 100, 1).alias("cumul_pct"),
     )
 
 
+def beyond_cut(shares: DataFrame, threshold: float = PARETO_SHARE) -> DataFrame:
+    """The dispensable names, one a row with position and share: all after those within
+    the threshold. The row-wise form of :func:`pareto_cut`, for any number of names."""
+    within = shares.agg(F.count_if(F.col("cumul_pct") <= threshold).alias("n"))
+    return with_facts(shares, within).where("position > _facts.n").drop("_facts")
+
+
 def pareto_cut(shares: DataFrame, threshold: float = PARETO_SHARE) -> DataFrame:
     """One row: how many variables stay within the threshold, how many reach it, and
     the dispensable ones (all beyond the first count), in order of importance.

@@ -291,6 +291,16 @@ round_even(sum(revenue) OVER w / sum(revenue) OVER () * 100, 1) AS cumul_pct FRO
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand)
 WINDOW w AS (ORDER BY revenue DESC, p_brand ROWS UNBOUNDED PRECEDING)"""
 
+PART_SHARES = """WITH sold AS (
+  SELECT l_partkey AS variable, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS importance
+  FROM lineitem GROUP BY l_partkey
+), shares AS (
+  SELECT CAST(row_number() OVER w AS INTEGER) AS position, variable, importance,
+         round_even(sum(importance) OVER w / sum(importance) OVER () * 100, 1) AS cumul_pct
+  FROM sold WINDOW w AS (ORDER BY importance DESC, variable ROWS UNBOUNDED PRECEDING)
+)
+"""
+
 ORACLES: dict[str, str] = {
     "scan_counts": "SELECT 'sensors' AS name, count(*) AS n_rows, 17 AS n_columns FROM events UNION ALL "
     "SELECT 'quality', count(*), 2 FROM events WHERE event_id % 5 = 0",
@@ -397,6 +407,8 @@ ORACLES: dict[str, str] = {
         "WHERE position > (SELECT count(*) FROM shares WHERE cumul_pct <= 80)) AS dispensable FROM shares"
     ),
     "revenue_pareto": REVENUE.replace("row_number() OVER w", "CAST(row_number() OVER w AS INTEGER)"),
+    "part_pareto": PART_SHARES + "SELECT position, variable, round(importance, 4) AS importance, cumul_pct FROM shares",
+    "part_pareto_cut": PART_SHARES + "SELECT position, variable, cumul_pct FROM shares WHERE position > (SELECT count(*) FROM shares WHERE cumul_pct <= 80)",
     "selection_threshold": _sql(
         "SELECT CAST(min(n_vars) AS INTEGER) AS n_vars FROM tried WHERE r2 >= 0.99 * (SELECT max(r2) FROM tried)",
         tried="SELECT row_number() OVER (ORDER BY abs(r), variable) AS n_vars, r * r AS r2 FROM targets",
@@ -416,7 +428,7 @@ ORACLES: dict[str, str] = {
         g2=_grid("H_data", 100, "v"),
     ),
     "pdp_2d": _sql(
-        f"SELECT {_r('v1', 4)} AS value_1, {_r('v2', 4)} AS value_2, {_r('2 + 0.05 * v1 + 0.1 * v2 + 0.001 * v1 * v2', 4)} AS pd FROM g1, g2",
+        f"SELECT {_r('v1', 8)} AS value_1, {_r('v2', 8)} AS value_2, {_r('2 + 0.05 * v1 + 0.1 * v2 + 0.001 * v1 * v2', 8)} AS pd FROM g1, g2",
         g1=_grid("T_data_3_1", 100, "v1"),
         g2=_grid("H_data", 100, "v2"),
     ),

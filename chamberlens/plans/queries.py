@@ -25,7 +25,8 @@ from chamberlens.operators.clean import (
     repair_triplets,
     selected_features,
 )
-from chamberlens.operators.explain import forest_dependence, grid_values, pdp_1d, pdp_2d
+from chamberlens.operators.explain import boost_dependence, forest_dependence, grid_values, pdp_1d, pdp_2d, row_dependence
+from chamberlens.operators.linear import NestedLeastSquares
 from chamberlens.operators.metrics import compare_models, regression_metrics, union_all
 from chamberlens.operators.models import (
     boost_estimator,
@@ -36,7 +37,7 @@ from chamberlens.operators.models import (
     predict,
     standardize,
 )
-from chamberlens.operators.rank import coefficients, feature_importance, pareto, pareto_cut, smallest_sufficient
+from chamberlens.operators.rank import beyond_cut, coefficients, feature_importance, pareto, pareto_cut, smallest_sufficient
 from chamberlens.operators.sample import folds, holdout
 from chamberlens.operators.search import BOOST_DRAWS, BOOST_GRID, FOREST_DRAWS, FOREST_GRID, boost_params, draw_params, forest_params, random_search
 from chamberlens.operators.select import cumulative_selection
@@ -430,13 +431,20 @@ def _linear_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Least squares on the first n features, in the order of their names."""
     aligned = _stored(spark, sf_dir)
     train, test = holdout(aligned, KEY)
-    return cumulative_selection(train, test, sorted(_features(aligned)), linear_estimator(TARGET))
+    return cumulative_selection(train, test, sorted(_features(aligned)), NestedLeastSquares(TARGET))
 
 
 def cumulative_selection_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_linear_selection(spark, sf_dir), 5)
 
 
+def cv_selection_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, scored by five folds of the training rows: the test rows stay unseen."""
+    aligned = _stored(spark, sf_dir)
+    train, _ = holdout(aligned, KEY)
+    return rounded(cumulative_selection(train, None, sorted(_features(aligned)), NestedLeastSquares(TARGET), select_on="cv"), 5)
+
+
 def selection_cut_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smallest_sufficient(_linear_selection(spark, sf_dir))
 
@@ -457,17 +465,17 @@ def random_search_boost(spark: SparkSession, sf_dir: str, draws: int = BOOST_DRA
     return random_search(train, estimator, params, SELECTED)[1]
 
 
-def tuning_comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tuning_comparison_query(spark: SparkSession, sf_dir: str, draws: int = FOREST_DRAWS) -> DataFrame:
     """The forest as the other queries fit it against the best of the draws."""
     estimator = deep_forest_estimator(TARGET)
     aligned = _stored(spark, sf_dir)
-    params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, FOREST_DRAWS)]
+    params = [forest_params(estimator, d) for d in draw_params(FOREST_GRID, draws)]
     return tuning_comparison(aligned, estimator, params, _features(aligned))[1]
 
 
-def boost_tuning_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boost_tuning_comparison(spark: SparkSession, sf_dir: str, draws: int = BOOST_DRAWS) -> DataFrame:
     estimator = _boosting()
-    params = [boost_params(estimator, d) for d in draw_params(BOOST_GRID, BOOST_DRAWS)]
+    params = [boost_params(estimator, d) for d in draw_params(BOOST_GRID, draws)]
     return tuning_comparison(_stored(spark, sf_dir), estimator, params, SELECTED)[1]
 
 
@@ -501,7 +509,7 @@ def pdp_1d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pdp_2d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data"), 4)
+    return rounded(pdp_2d(_formula, _training_pair(spark, sf_dir), "T_data_3_1", "H_data"), 8)
 
 
 def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,6 +524,39 @@ def pdp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_dependence(forest, columns, grids)
 
 
+def pdp_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dependence of the penalised boosting read off its trees, one feature and one pair."""
+    train, _ = holdout(_stored(spark, sf_dir), KEY)
+    points = grid_values(train, SELECTED)
+    grids = {(c,): [(v,) for v in values] for c, values in points.items()}
+    pair = ("T_data_3_1", "H_data")
+    grids[pair] = [(a, b) for a in points[pair[0]] for b in points[pair[1]]]
+    return boost_dependence(_boosting().fit(train), grids)
+
+
+def pdp_boost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dependence of the penalised boosting averaged over the training rows themselves."""
+    train, _ = holdout(_stored(spark, sf_dir), KEY)
+    grids = {(c,): [(v,) for v in values] for c, values in grid_values(train, SELECTED).items()}
+    return row_dependence(_boosting().fit(train).scorer(), train, SELECTED, grids)
+
+
+def _part_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    revenue = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+    sold = _table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum(revenue).cast("double").alias("revenue"))
+    return pareto(sold, "l_partkey", "revenue")
+
+
+def part_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts sold by revenue: a name a part, ranked without a task that sees them all."""
+    return rounded(_part_shares(spark, sf_dir), 4)
+
+
+def part_pareto_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts beyond the Pareto share."""
+    return beyond_cut(_part_shares(spark, sf_dir)).select("position", "variable", "cumul_pct")
+
+
 def revenue_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands by revenue: a fixed and small set of names, whatever the table size."""
     items = _table(spark, sf_dir, "lineitem").select(
@@ -579,11 +620,14 @@ QUERIES: dict[str, Query] = {
     "pareto_share": pareto_share,
     "pareto_cut": pareto_cut_query,
     "revenue_pareto": revenue_pareto,
+    "part_pareto": part_pareto,
+    "part_pareto_cut": part_pareto_cut,
     "selection_threshold": selection_threshold,
     "cumulative_selection": cumulative_selection_query,
     "selection_cut": selection_cut,
     "cumulative_selection_linear": cumulative_selection_linear,
     "selection_cut_linear": selection_cut_linear,
+    "cv_selection_linear": cv_selection_linear,
     "random_search_forest": random_search_forest,
     "random_search_boost": random_search_boost,
     "tuning_comparison": tuning_comparison_query,
@@ -593,4 +637,6 @@ QUERIES: dict[str, Query] = {
     "pdp_1d": pdp_1d_query,
     "pdp_2d": pdp_2d_query,
     "pdp_forest": pdp_forest,
+    "pdp_boost": pdp_boost,
+    "pdp_boost_rows": pdp_boost_rows,
 }

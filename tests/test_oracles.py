@@ -35,9 +35,15 @@ def test_entry_runs(spark):
         ("boost_importance_cut", 1),
         ("forest_minimal", 40),
         ("alignment_comparison", 2),
-        ("random_search_forest", 2),
-        ("tuning_comparison", 3),
+        ("selection_cut", 1),
+        ("cv_selection_linear", 16),
+        ("pdp_boost_rows", 562),
     ],
 )
 def test_model_queries_run(spark, small, name, rows):
     assert len(entry.queries()[name](spark, small).collect()) == rows
+
+
+@pytest.mark.parametrize("name, rows", [("random_search_forest", 2), ("random_search_boost", 2), ("tuning_comparison", 3), ("boost_tuning_comparison", 3)])
+def test_searches_run_with_fewer_draws(spark, small, name, rows):
+    assert len(entry.queries()[name](spark, small, draws=2).collect()) == rows
