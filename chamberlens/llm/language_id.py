@@ -55,6 +55,11 @@ class LanguageModel:
     def __post_init__(self):
         self.column = {p: len(self.families) + i for i, p in enumerate(self.pairs)}
 
+    @property
+    def doubtful(self) -> float:
+        """Scores below this are worse than a blind guess among the languages and one more."""
+        return 1 / (1 + sum(map(len, self.languages.values())))
+
     def predict(self, text: str) -> tuple[str, float]:
         """Best family first, then the votes of its pairs; ties go to the larger sum of
         probabilities, then to the first name."""
@@ -132,7 +137,11 @@ def _fitted(x: np.ndarray, y: np.ndarray) -> LanguageModel | None:
     languages = {f: [n for n in names if family_of(n) == f] for f in families}
     pairs = [pair for f in families for pair in combinations(languages[f], 2)]
     of = np.array([family_of(n) for n in y.tolist()])
-    apart = np.arange(len(y)) % 5 == 0  # a fifth calibrates, the rest is fitted
+    apart = np.zeros(len(y), bool)  # a fifth of each language calibrates, the rest is fitted
+    for name in names:
+        mine = np.flatnonzero(y == name)
+        if len(mine) >= 5:
+            apart[mine[::5]] = True
     columns, links = [], []
     rests = [(np.full(len(y), True), of == f) for f in families]
     for i, (use, target) in enumerate(rests + [((y == a) | (y == b), y == a) for a, b in pairs]):
@@ -144,6 +153,8 @@ def _fitted(x: np.ndarray, y: np.ndarray) -> LanguageModel | None:
         fit, judge = use & ~apart, use & apart
         w = linear_svm(x[fit], side[fit], rounds=120)
         columns.append(w)
+        if len(set(target[judge].tolist())) < 2:  # too few rows to keep some apart
+            judge = use
         margins = x[judge] @ w[:-1].astype(np.float32) + w[-1]
         links.append(platt(margins.astype(np.float64), target[judge].astype(int)))
     return LanguageModel(families, languages, pairs, np.array(columns).T.astype(np.float32), np.array(links).T)

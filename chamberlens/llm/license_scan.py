@@ -97,7 +97,6 @@ _VERSION_DOT = r"(?i)\b(v|ver)\.(?=\s{0,9}\d)"
 _SENTENCE_MARK = rf"[.!?]+(?:[\s{_END}]+|$)"
 #: Characters that may stand before a known sentence in its first line, and the words up to which one is a title.
 LEAD_IN, TITLE_WORDS = 40, 4
-_LINES_BACK = 120
 
 
 def normalised(sentence: Column) -> Column:
@@ -122,8 +121,10 @@ def _known_in(lines: Column, sentences: Mapping[str, str]) -> Column:
         for i, s in ordered
     ])
 
+    most = max(len(s.split(" ")) for s in sentences.values())  # a line holds a word at least
+
     def fitting(j: Column, s: Column) -> Column:
-        back = F.sequence(F.lit(1), F.least(j, F.lit(_LINES_BACK)))
+        back = F.sequence(F.lit(1), F.least(j, F.lit(most)))
         runs = F.transform(back, lambda k: F.struct(k.alias("k"), F.array_join(F.slice(lines, j - k + 1, k), "").alias("words")))
         size = F.char_length(s["words"])
         run = F.get(F.filter(runs, lambda r: F.char_length(r["words"]) >= size), F.lit(0))
@@ -169,8 +170,9 @@ def scan_licenses(
     for pattern, by in ((_VERSION_DOT, "$1 "), (_BLANK_LINES, _END), (_LIST_ITEM, _END), (SOFT_BREAK, " $1"), (_SENTENCE_MARK, _END)):
         text = F.regexp_replace(text, pattern, by)
     shortest = min(map(len, sentences.values()))
-    cues = r"(?i)licen[sc]|copyright|warrant|permi|redistribut|modif|rights|mozilla"
-    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & s.rlike(cues))
+    # a known sentence holds each of its words, so its longest one tells where to look at all
+    cues = "|".join(sorted({max(s.split(" "), key=len) for s in sentences.values()}))
+    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & F.lower(s).rlike(cues))
     ids = F.flatten(F.transform(F.transform(likely, _lines), lambda lines: _known_in(lines, sentences)))
 
     written = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_row(seq)).alias("row")) for name, seq in rules])

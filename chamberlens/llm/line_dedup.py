@@ -2,8 +2,9 @@
 
 Lines are exploded, their normalised form hashed to 128 bits, distinct documents
 counted per hash, and the line numbers to drop joined back to the documents, which
-are put together again by position. Counting combines before each shuffle and the two
-joins keep the shape in which adaptive execution splits a crowded key.
+are put together again by position. Counting combines before each shuffle. Both joins
+read their counted side from a stored table: adaptive execution splits a crowded key
+only between plain shuffles, not above an aggregate.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chamberlens.llm.common import BLANKS, ascii_lower, free_names, without
+from chamberlens.session import stored
 
 
 def line_dedup(
@@ -29,7 +31,8 @@ def line_dedup(
     Null or empty text is one empty line and comes back empty. A row without id neither
     counts nor loses lines. Rows that share an id are one document: they count once, and
     all of them keep or lose a line alike. Other columns are carried along; input
-    columns named ``n_lines`` or ``n_dropped`` are replaced.
+    columns named ``n_lines`` or ``n_dropped`` are replaced. Runs jobs when called: the
+    shared lines' hashes and the line numbers to drop are checkpointed.
     """
     base = without(docs, "n_lines", "n_dropped")
     lines, mark, gone, id_of, mark_of = free_names(base, "_lines", "_mark", "_gone", "_id_of", "_mark_of")
@@ -45,13 +48,13 @@ def line_dedup(
         .where(F.char_length("key") >= min_chars)
         .select("id", "mark", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
-    shared = (
+    shared = stored(
         keyed.groupBy("h1", "h2")
         .agg(F.count_distinct("id").alias("n"), F.min("id").alias("first"))
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "first")
     )
-    drops = (
+    drops = stored(
         keyed.join(shared, ["h1", "h2"])
         .where(F.col("id") != F.col("first"))
         .groupBy(F.col("id").alias(id_of), F.col("mark").alias(mark_of))

@@ -183,7 +183,8 @@ def near_duplicates(
     )
 
     pairs_posted = classes.select("node", F.explode("signature").alias("token"))
-    frequent = pairs_posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # counted tables are stored: above an aggregate adaptive execution would not split a crowded token
+    frequent = stored(pairs_posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
     met = pairs_posted.join(frequent, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("met"))
     prefix = met.where(F.size("met") >= match).select(
         "node",
@@ -200,8 +201,9 @@ def near_duplicates(
 
     for turn in range(ROUNDS + 1):
         # postings whose classes are all in one component are done
-        open_tokens = postings.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        postings, rows = _stored(postings.join(open_tokens.select("token"), "token"), rows)
+        ends = postings.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        open_tokens, _ = _stored(ends.where("lo <> hi").select("token"), rows)
+        postings, rows = _stored(postings.join(open_tokens, "token"), rows)
         if not rows:
             break
         if turn < ROUNDS:

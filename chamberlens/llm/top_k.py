@@ -106,8 +106,9 @@ def top_k(
     the range of a long are held at its ends. Ties go to the smaller id.
 
     Rows without id, and vectors that are null or hold a null or a component that is not
-    finite, take no part. Rows that share an id are candidates each; of queries that
-    share an id one, the smallest vector, is asked. Other columns are ignored.
+    finite, take no part. Rows that share an id are candidates each, but none is one for
+    a query of that id; every row of ``queries`` is asked and has ranks of its own, also
+    when its id repeats. Other columns are ignored.
 
     Queries go in blocks of ``QUERY_BLOCK`` that are broadcast, each against all rows.
     Memory of a task: a block of either kind and ``k`` rows per query.
@@ -118,35 +119,36 @@ def top_k(
         return id_and_vector.where(F.col("id").isNotNull() & usable(F.col("vector"))).select("id", integer_vector(F.col("vector"), scale).alias("vector"))
 
     rows = prepared(vectors)
-    asked = prepared(queries).groupBy("id").agg(F.min("vector").alias("vector"))
-    numbered = stored(asked.withColumn("part", F.spark_partition_id()))
+    numbered = stored(prepared(queries).withColumn("query", F.monotonically_increasing_id()))
     found = None
     for block in _query_blocks(numbered):
-        part = rows.mapInArrow(_search(vectors.sparkSession.sparkContext.broadcast(block), k), "query_id long, id long, score long")
+        part = rows.mapInArrow(_search(vectors.sparkSession.sparkContext.broadcast(block), k), "query long, query_id long, id long, score long")
         found = part if found is None else found.union(part)
     if found is None:
-        found = rows.select(F.col("id").alias("query_id"), "id", F.lit(0).cast("bigint").alias("score")).where("false")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+        found = rows.select(F.col("id").alias("query"), F.col("id").alias("query_id"), "id", F.lit(0).cast("bigint").alias("score")).where("false")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
-def _query_blocks(queries: DataFrame) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _query_blocks(queries: DataFrame) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
     """Queries in blocks of bounded size, brought to the driver a partition at a time."""
+    numbers: list[int] = []
     ids: list[int] = []
     vectors: list[np.ndarray] = []
-    for row in queries.select("id", "vector").toLocalIterator():
+    for row in queries.select("query", "id", "vector").toLocalIterator():
+        numbers.append(row["query"])
         ids.append(row["id"])
         vectors.append(np.array(row["vector"], np.float64))
         if len(ids) == QUERY_BLOCK:
-            yield ids, vectors
-            ids, vectors = [], []
+            yield numbers, ids, vectors
+            numbers, ids, vectors = [], [], []
     if ids:
-        yield ids, vectors
+        yield numbers, ids, vectors
 
 
 def _search(shared, k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_vectors = shared.value
+        numbers, query_ids, query_vectors = shared.value
         row, term, weight = _rows(query_vectors)
         bounds = np.searchsorted(row, np.arange(len(query_ids) + 1))
         terms_most = int(np.bincount(row).max()) if len(row) else 0
@@ -180,8 +182,13 @@ def _search(shared, k: int):
             if held is not None and len(held[0]):
                 scores = [min(max(int(s), _LEAST), _MOST) for s in held[0]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([query_ids[q]] * len(scores), pa.int64()), pa.array(held[1], pa.int64()), pa.array(scores, pa.int64())],
-                    names=["query_id", "id", "score"],
+                    [
+                        pa.array([numbers[q]] * len(scores), pa.int64()),
+                        pa.array([query_ids[q]] * len(scores), pa.int64()),
+                        pa.array(held[1], pa.int64()),
+                        pa.array(scores, pa.int64()),
+                    ],
+                    names=["query", "query_id", "id", "score"],
                 )
 
     return work

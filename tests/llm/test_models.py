@@ -1,12 +1,15 @@
 """Language and quality models: held-out accuracy and the awkward inputs."""
 
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chamberlens.llm import language_id, quality
 from chamberlens.llm.grams import gram_counts, linear_svm, packed, platt, unpacked
-from chamberlens.llm.language_id import fit_languages, identify_language
-from chamberlens.llm.quality import fit_quality, score_quality
+from chamberlens.llm.language_id import features as language_features, fit_languages, identify_language
+from chamberlens.llm.quality import _fitted as quality_fitted, fit_quality, score_quality
 from chamberlens.llm.queries import LLM_QUERIES
 
 
@@ -100,3 +103,79 @@ def test_gram_counts_do_not_depend_on_pieces(monkeypatch):
     monkeypatch.setattr("chamberlens.llm.grams.PIECE", 100)
     assert np.array_equal(gram_counts(text, language_id._LETTERS, 3, 12), whole)
     assert gram_counts("", language_id._LETTERS, 3, 12).sum() == 0
+
+
+def plain_language(model, text):
+    """Families, then votes of pairs, by a loop over single linear models."""
+    x = language_features(text)
+
+    def p(column):
+        margin = sum(float(x[i]) * float(model.weights[i, column]) for i in np.flatnonzero(x)) + float(model.weights[-1, column])
+        return 1 / (1 + math.exp(-(margin * model.links[0][column] + model.links[1][column])))
+
+    shares = [p(i) for i in range(len(model.families))]
+    best = max(range(len(shares)), key=lambda i: shares[i])
+    members = model.languages[model.families[best]]
+    score = shares[best] / sum(shares) if len(shares) > 1 else 1.0
+    if len(members) == 1:
+        return members[0], score
+    votes, belief = {m: 0 for m in members}, {m: 0.0 for m in members}
+    for i, (a, b) in enumerate(model.pairs):
+        if a in members and b in members:
+            q = p(len(model.families) + i)
+            votes[a if q >= 0.5 else b] += 1
+            belief[a], belief[b] = belief[a] + q, belief[b] + 1 - q
+    winner = max(members, key=lambda m: (votes[m], belief[m]))
+    return winner, score * belief[winner] / (len(members) - 1)
+
+
+def test_language_predictions_equal_a_plain_loop(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
+    model = fit_languages(spark.read.parquet(f"{small}/documents.parquet"))
+    for r in identify_language(docs.select("doc_id", "text"), model).collect():
+        if r["lang_pred"] != "und":
+            language, score = plain_language(model, r["text"])
+            assert r["lang_pred"] == language and r["score"] == pytest.approx(score, rel=1e-4)
+
+
+def test_languages_of_few_rows_are_learned(spark, docs_of):
+    words = {"en": "the whole story of this house", "de": "das ganze Haus und seine Straße", "fr": "l'été où le garçon était là", "ru": "весь этот старый дом"}
+    for few in (1, 2, 3, 4):
+        rows = [(i, f"{words[lang]} {i} {words[lang]}", lang) for lang in words for i in range(few if lang == "fr" else 40)]
+        docs = spark.createDataFrame([(n, t, lang) for n, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+        model = fit_languages(docs)
+        assert model.doubtful == 1 / 5
+        found = {r["lang"]: r["lang_pred"] for r in identify_language(docs.where("doc_id % 7 = 0 OR lang = 'fr'"), model).collect()}
+        assert found == {lang: lang for lang in words}
+
+
+def test_bradley_terry_weights_equal_another_solvers():
+    """Plain gradient steps on the drawn pairs end at the fitted ranking loss."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(80, 5)).astype(np.float32)
+    labels = (x @ np.array([2.0, -1, 0.5, 0, 0]) + 0.3 * rng.normal(size=80) > 0).astype(int)
+    model = quality_fitted(x, labels, 0.5, 3000)
+    draw = np.random.default_rng(7)
+    better = x[draw.choice(np.flatnonzero(labels == 1), 3000)].astype(float)
+    worse = x[draw.choice(np.flatnonzero(labels == 0), 3000)].astype(float)
+
+    def loss(w):
+        return np.logaddexp(0, -(better - worse) @ w).mean() + 0.5e-4 * w @ w
+
+    w = np.zeros(5)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp((better - worse) @ w))
+        w += 0.5 * ((p[:, None] * (better - worse)).mean(axis=0) - 1e-4 * w)
+    assert loss(model.weights.astype(float)) <= loss(w) + 0.02
+    assert np.corrcoef(x @ model.weights, x @ w)[0, 1] > 0.98
+
+
+def test_labels_without_documents_neither_count_nor_are_drawn(spark, docs_of):
+    docs = docs_of([(i, f"{'Good words, written well.' if i % 2 else '### 1234 !!! XX %%'} {i}" * 5) for i in range(4)])
+    labels = spark.range(500_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    model = fit_quality(docs, labels, sample=100, pairs=200)
+    assert model is not None
+    scores = {r["doc_id"]: r["score"] for r in score_quality(docs, model).collect()}
+    assert min(scores[1], scores[3]) > max(scores[0], scores[2])
+    assert fit_quality(docs, labels.where("doc_id > 3")) is None
+    assert fit_quality(docs, labels.where("doc_id % 2 = 0")) is None

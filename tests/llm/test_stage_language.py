@@ -16,3 +16,15 @@ def test_the_model_rejects_no_lettered_document(spark, small, docs_of):
     rows = [(1, "ordinary words"), (2, "andere W\u00f6rter"), (3, "\u6587\u5b57"), (4, "12"), (5, "a")]
     kept = corpus_pipeline.known_language(spark, docs_of(rows * 2), small)
     assert {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 5}
+
+
+def test_documents_scored_below_a_blind_guess_go(spark, small, monkeypatch):
+    """The stage's rule, on the scores of its own model; the corpus itself loses nothing."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").where(F.col("text").rlike(r"\p{L}"))
+    assert corpus_pipeline.known_language(spark, docs, small).count() == docs.count()
+    monkeypatch.setattr(corpus_pipeline.LanguageModel, "doubtful", property(lambda self: 0.95))
+    model = corpus_pipeline.fit_languages(docs)
+    scored = corpus_pipeline.identify_language(docs, model).where("score >= 0.95")
+    kept = corpus_pipeline.known_language(spark, docs, small)
+    assert 0 < scored.count() < docs.count()
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in scored.collect())

@@ -23,7 +23,7 @@ def whole(x):
 def brute(rows, queries, k):
     good = [(i, [whole(x) for x in v]) for i, v in rows if i is not None and usable(v)]
     result = []
-    for q, v in sorted({i: min(x for j, x in good if j == i) for i, _ in good if i in queries}.items()):
+    for q, v in ((i, v) for i, v in good if i in queries):
         scores = sorted(((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), i) for i, w in good if i != q))
         result += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
     return sorted(result)
