@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chamberlens.llm.bpe import encode
 from chamberlens.llm.common import in_letters
 from chamberlens.llm.decontaminate import find_contamination
-from chamberlens.llm.language_id import UNKNOWN, fit_languages, identify_language
+from chamberlens.llm.language_id import UNKNOWN, LanguageModel, fit_languages, identify_language
 from chamberlens.llm.line_dedup import line_dedup
 from chamberlens.llm.near_dedup import without_near_duplicates
 from chamberlens.llm.queries import vocabulary_path
@@ -23,16 +23,17 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language cannot be told: null or without letters.
+    """Drop the documents whose language cannot be told.
 
-    That is all the model can reject, as it gives any text with letters one of the
-    languages learned. Where no row has a language to learn from, letters alone decide.
+    That are null texts, texts without letters, and those whose predicted language has a
+    score below a blind guess among the languages learned and one more (with four
+    languages, 1 / 5). Where no row has a language to learn from, letters alone decide.
     """
-    model = fit_languages(docs)
+    model: LanguageModel | None = fit_languages(docs)
     if model is None:
         return docs.where(in_letters(F.col("text")))
     found = identify_language(docs, model)
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= model.doubtful)).select(*docs.columns)
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
