@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from chamberlens.functions.columns import nan_as_null, numeric_columns, quoted, share_of, text
 from chamberlens.functions.ranks import quantiles
-from chamberlens.session import stored
+from chamberlens.session import discard, materialize, stored
 
 # Below this share of the raw second moment a central moment is rounding noise.
 ROUNDING = 1e-12
+#: Columns of a tile of a wide matrix, and rows that a task turns into products at a time.
+TILE, ROWS = 512, 1024
 
 
 def column_extremes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -44,17 +46,23 @@ def numeric_summary(df: DataFrame, col: str) -> DataFrame:
     return one_row.select(F.inline("rows"))
 
 
-def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
+def pair_moments(df: DataFrame, columns: list[str], tile: int = TILE) -> DataFrame:
     """Rows, means and central moments of every pair (i <= j), over rows where both are present.
 
     Each task turns its rows into one small table by matrix products; p(p-1)/2 SQL
     aggregates outgrow generated code already at p = 17. The tables, stored when called,
     merge around a common origin, so a constant column keeps a moment of exactly zero.
+
+    More than ``tile`` columns are written as Parquet once, and each task reads two blocks
+    of columns alone: it holds four tables of ``tile`` x ``tile`` numbers (8 MB at 512) and a
+    batch of at most twice as many columns. The more pairs of blocks there are, the
+    fewer tasks share one, so that what is stored grows with tasks x ``tile`` squared.
     """
-    tables = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)]).mapInArrow(
-        _task_moments, "i int, j int, n double, mean_i double, mean_j double, m_ii double, m_jj double, m_ij double"
-    )
-    parts = stored(tables)
+    numbers = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)])
+    if len(columns) <= tile:
+        parts = stored(numbers.mapInArrow(_task_moments(0, 0, len(columns)), _MOMENTS))
+    else:
+        parts = _tiled_moments(numbers, tile)
     # one origin per pair; minima and sums combine on the map side, so no pair's tables are gathered
     origins = parts.groupBy("i", "j").agg(F.min("mean_i").alias("o_i"), F.min("mean_j").alias("o_j"))
     offset = parts.join(origins, ["i", "j"]).withColumns({"d_i": F.col("mean_i") - F.col("o_i"), "d_j": F.col("mean_j") - F.col("o_j")})
@@ -75,52 +83,91 @@ def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _task_moments(batches: Iterator) -> Iterator:
-    import numpy as np
-    import pyarrow as pa
-
-    sums = centre = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        present = ~np.isnan(values)
-        if centre is None:
-            # any value near the data will do; the median is exact for a constant column
-            centre = np.array([np.median(v[p]) if p.any() else 0.0 for v, p in zip(values.T, present.T)])
-        moved, mask = np.where(present, values - centre, 0.0), present.astype(float)
-        batch_sums = np.stack([mask.T @ mask, moved.T @ mask, (moved * moved).T @ mask, moved.T @ moved])
-        sums = batch_sums if sums is None else sums + batch_sums
-    if sums is None:
-        return
-    rows, first, second, cross = sums
-    i, j = np.triu_indices(rows.shape[0])
-    n = rows[i, j]
-    s_i, s_j, q_i, q_j = first[i, j], first[j, i], second[i, j], second[j, i]
-    size = np.where(n > 0, n, np.nan)  # a pair without common rows has no moments
-
-    def central(q, s):
-        moment = q - s * s / size
-        return np.where(moment <= q * ROUNDING, 0.0 * size, moment)
-
-    table = {
-        "i": i.astype("int32"),
-        "j": j.astype("int32"),
-        "n": n,
-        "mean_i": centre[i] + s_i / size,
-        "mean_j": centre[j] + s_j / size,
-        "m_ii": central(q_i, s_i),
-        "m_jj": central(q_j, s_j),
-        "m_ij": cross[i, j] - s_i * s_j / size,
-    }
-    yield pa.RecordBatch.from_pydict({k: pa.array(v, from_pandas=True) for k, v in table.items()})
-
-
-def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson matrix as (var_i, var_j, r), all ordered pairs, null for a constant column."""
+_MOMENTS = "i int, j int, n double, mean_i double, mean_j double, m_ii double, m_jj double, m_ij double"
+
+
+def _tiled_moments(numbers: DataFrame, tile: int) -> DataFrame:
+    """The tasks' tables of all pairs of column blocks, one row of blocks after the other."""
+    table, path = materialize(numbers, "columns")
+    names = table.columns
+    starts = range(0, len(names), tile)
+    tasks = table.rdd.getNumPartitions()
+    parts = None
+    for first in starts:
+        seconds = [at for at in starts if at >= first]
+        row = None
+        for second in seconds:
+            left = names[first : first + tile]
+            right = names[second : second + tile] if second > first else []
+            # every column block is read by several pairs; together they take as many tasks as one scan
+            read = table.select(*left, *right).coalesce(max(1, -(-tasks // len(seconds))))
+            one = read.mapInArrow(_task_moments(first, second, len(left)), _MOMENTS)
+            row = one if row is None else row.union(one)
+        row = stored(row)
+        parts = row if parts is None else parts.union(row)
+    discard(numbers.sparkSession, path)
+    return parts
+
+
+def _task_moments(first: int, second: int, width: int):
+    """A task's table of the pairs between its first ``width`` columns, which are the
+    matrix's from ``first`` on, and the rest, from ``second`` on; without a rest, of the
+    pairs among the first."""
+
+    def work(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        sums = centre = None
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                present = ~np.isnan(values)
+                if centre is None:
+                    # any value near the data will do; the median is exact for a constant column
+                    centre = np.array([np.median(v[p]) if p.any() else 0.0 for v, p in zip(values.T, present.T)])
+                moved, mask = np.where(present, values - centre, 0.0), present.astype(float)
+                rest = slice(width, None) if values.shape[1] > width else slice(None)
+                a, a_mask, b, b_mask = moved[:, :width], mask[:, :width], moved[:, rest], mask[:, rest]
+                products = (a_mask.T @ b_mask, a.T @ b_mask, a_mask.T @ b, (a * a).T @ b_mask, a_mask.T @ (b * b), a.T @ b)
+                sums = products if sums is None else tuple(old + new for old, new in zip(sums, products))
+        if sums is None:
+            return
+        among = len(centre) == width
+        left, right = centre[:width], centre if among else centre[width:]
+        for i in range(width):  # a line of pairs at a time, so that no second copy of the tables is held
+            at = slice(i if among else 0, None)
+            n, s_i, s_j, q_i, q_j, cross = (table[i, at] for table in sums)
+            size = np.where(n > 0, n, np.nan)  # a pair without common rows has no moments
+
+            def central(q, s):
+                moment = q - s * s / size
+                return np.where(moment <= q * ROUNDING, 0.0 * size, moment)
+
+            line = {
+                "i": np.full(len(n), first + i, "int32"),
+                "j": (second + np.arange(len(right))[at]).astype("int32"),
+                "n": n,
+                "mean_i": left[i] + s_i / size,
+                "mean_j": right[at] + s_j / size,
+                "m_ii": central(q_i, s_i),
+                "m_jj": central(q_j, s_j),
+                "m_ij": cross - s_i * s_j / size,
+            }
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, from_pandas=True) for k, v in line.items()})
+
+    return work
+
+
+def correlation_matrix(df: DataFrame, columns: list[str] | None = None, tile: int = TILE) -> DataFrame:
+    """Pearson matrix as (var_i, var_j, r), all ordered pairs, null for a constant column.
+
+    Matrices of more than ``tile`` columns are computed in tiles (see :func:`pair_moments`).
+    """
     columns = columns or numeric_columns(df)
     names = F.lit(columns)
-    moments = pair_moments(df, columns)
+    moments = pair_moments(df, columns, tile)
     r = share_of(F.col("m_ij"), F.sqrt("m_ii") * F.sqrt("m_jj"))
     r = F.when(F.col("i") == F.col("j"), F.when(F.col("m_ii") > 0, F.lit(1.0))).otherwise(
         F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))

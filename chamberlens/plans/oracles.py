@@ -278,6 +278,13 @@ def _lineitem_pairs() -> str:
     )
 
 
+EMBEDDING_CORRELATION = f"""WITH entry AS (
+  SELECT vec_id, 'e' || (generate_subscripts(embedding, 1) - 1) AS name, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+)
+SELECT a.name AS var_i, b.name AS var_j, {_r("CASE WHEN a.name <> b.name THEN corr(a.x, b.x) WHEN stddev_pop(a.x) > 0 THEN 1.0 END")} AS r
+FROM entry a JOIN entry b USING (vec_id) GROUP BY a.name, b.name"""
+
+
 def _sizes() -> str:
     return _sql(
         f"SELECT 'exact' AS name, count(*) AS n_rows, {len(FEATURES) + 2} AS n_columns FROM aligned UNION ALL "
@@ -343,6 +350,7 @@ ORACLES: dict[str, str] = {
     "lineitem_extremes": _extremes(LINEITEM_COLUMNS, "lineitem"),
     "lineitem_summary": SUMMARY.format(c="l_extendedprice", t="lineitem", d=4),
     "lineitem_correlation": _lineitem_pairs(),
+    "embedding_correlation": EMBEDDING_CORRELATION,
     "holdout_split": _sql(
         "SELECT date_time, CASE WHEN CAST(('0x' || substr(md5(CAST(date_time AS VARCHAR) || '|42'), 1, 8)) AS UBIGINT) % 100 < 20 "
         "THEN 'test' ELSE 'train' END AS part FROM aligned"

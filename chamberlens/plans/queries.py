@@ -226,6 +226,14 @@ def lineitem_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correlation_matrix(_table(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS))
 
 
+def embedding_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component with every other, in tiles of 24 columns."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    width = vectors.agg(F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()[0]
+    components = vectors.select(*[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(width)])
+    return rounded(correlation_matrix(components, tile=24))
+
+
 # --- split and folds ---------------------------------------------------------
 
 
@@ -593,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "lineitem_extremes": lineitem_extremes,
     "lineitem_summary": lineitem_summary,
     "lineitem_correlation": lineitem_correlation,
+    "embedding_correlation": embedding_correlation,
     "holdout_split": holdout_split,
     "holdout_fraction": holdout_fraction,
     "holdout_split_exact": holdout_split_exact,
