@@ -1,15 +1,14 @@
 """Exact top-k search by inner product, a term at a time.
 
-Vectors become sparse rows of integers. Each task turns its candidates into postings
-per term, block by block; every term of a query adds its weight times the posting's to a
-dense array of scores. A block's best are selected, merged within the task, and the
-tasks' lists merged by a window.
+Vectors become sparse rows of integers. Blocks of queries meet slices of candidates as
+groups of a cogroup. A group turns its candidates into postings per term, block by block;
+every term of a query adds its weight times the posting's to a dense array of scores. A
+block's best are selected, merged within the group, and the groups' lists by a window.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chamberlens.session import stored
 
 BLOCK, QUERY_BLOCK = 8192, 4096
+#: Candidates of a group on average: at most, and at least where cores would stand idle.
+SLICE, LEAST_SLICE = 65536, 4096
 _LEAST, _MOST = -(2**63), 2**63 - 1
 
 
@@ -110,85 +111,82 @@ def top_k(
     a query of that id; every row of ``queries`` is asked and has ranks of its own, also
     when its id repeats. Other columns are ignored.
 
-    Queries go in blocks of ``QUERY_BLOCK`` that are broadcast, each against all rows.
-    Memory of a task: a block of either kind and ``k`` rows per query.
+    Every block of about ``QUERY_BLOCK`` queries is sent to every slice of at most about
+    ``SLICE`` candidates, both by a hash of the row's number, so that neither crowded ids
+    nor repeated vectors crowd a group. Nothing but the two counts reaches the driver.
+    Memory of a task: a block of queries, a slice, and ``k`` rows per query of the block.
+    Queries and candidates are stored when called.
     """
+    context = vectors.sparkSession.sparkContext
 
     def prepared(df: DataFrame) -> DataFrame:
         id_and_vector = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"))
-        return id_and_vector.where(F.col("id").isNotNull() & usable(F.col("vector"))).select("id", integer_vector(F.col("vector"), scale).alias("vector"))
-
-    rows = prepared(vectors)
-    numbered = stored(prepared(queries).withColumn("query", F.monotonically_increasing_id()))
-    found = None
-    for block in _query_blocks(numbered):
-        part = rows.mapInArrow(_search(vectors.sparkSession.sparkContext.broadcast(block), k), "query long, query_id long, id long, score long")
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = rows.select(F.col("id").alias("query"), F.col("id").alias("query_id"), "id", F.lit(0).cast("bigint").alias("score")).where("false")
+        whole = id_and_vector.where(F.col("id").isNotNull() & usable(F.col("vector"))).select("id", integer_vector(F.col("vector"), scale).alias("vector"))
+        return stored(whole.withColumn("number", F.monotonically_increasing_id()))
+
+    asked, rows = prepared(queries), prepared(vectors)
+    n_rows = rows.count()
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    busy = min(-(-n_rows // LEAST_SLICE), -(-4 * context.defaultParallelism // blocks))
+    slices = max(1, -(-n_rows // SLICE), busy)
+
+    def spread(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
+        placed = df.withColumn(own, F.pmod(F.xxhash64("number"), F.lit(parts)))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).groupBy(F.col("block").cast("long"), F.col("slice").cast("long"))
+
+    found = spread(asked, "block", blocks, "slice", slices).cogroup(spread(rows, "slice", slices, "block", blocks)).applyInArrow(_search(k), FOUND)
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
-def _query_blocks(queries: DataFrame) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
-    """Queries in blocks of bounded size, brought to the driver a partition at a time."""
-    numbers: list[int] = []
-    ids: list[int] = []
-    vectors: list[np.ndarray] = []
-    for row in queries.select("query", "id", "vector").toLocalIterator():
-        numbers.append(row["query"])
-        ids.append(row["id"])
-        vectors.append(np.array(row["vector"], np.float64))
-        if len(ids) == QUERY_BLOCK:
-            yield numbers, ids, vectors
-            numbers, ids, vectors = [], [], []
-    if ids:
-        yield numbers, ids, vectors
-
-
-def _search(shared, k: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, query_ids, query_vectors = shared.value
-        row, term, weight = _rows(query_vectors)
+FOUND = "query long, query_id long, id long, score long"
+
+
+def _vectors(table: pa.Table) -> list[np.ndarray]:
+    lists = pa.concat_arrays(table.column("vector").chunks)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1])
+
+
+def _search(k: int):
+    def work(asked: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not asked.num_rows or not candidates.num_rows:
+            return pa.table({n: pa.array([], pa.int64()) for n in ("query", "query_id", "id", "score")})
+        query_ids = asked.column("id").to_pylist()
+        numbers = asked.column("number").to_numpy()
+        row, term, weight = _rows(_vectors(asked))
         bounds = np.searchsorted(row, np.arange(len(query_ids) + 1))
         terms_most = int(np.bincount(row).max()) if len(row) else 0
         query_most = float(np.abs(weight).max()) if len(weight) else 0.0
         best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(query_ids)
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            lists = batch.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(np.array([len(v) if v is not None else 0 for v in lists]))
-            every = np.split(flat, ends[:-1])
-            for at in range(0, len(ids), BLOCK):
-                block, block_ids = every[at : at + BLOCK], ids[at : at + BLOCK]
-                most = max((float(np.abs(v).max()) for v in block if len(v)), default=0.0)
-                wide = most >= 2**53 or query_most >= 2**53 or most * query_most * terms_most >= 2**62
-                postings = Postings(block, wide)
-                weights = _exact(weight, wide)
-                present = set(block_ids.tolist())
-                for q, name in enumerate(query_ids):
-                    mine = slice(bounds[q], bounds[q + 1])
-                    scores = postings.scores(term[mine], weights[mine], wide)
-                    if name in present:
-                        others = block_ids != name
-                        got = _best(scores[others], block_ids[others], k)
-                    else:
-                        got = _best(scores, block_ids, k)
-                    if best[q] is not None:
-                        got = _best(np.concatenate((best[q][0], got[0])), np.concatenate((best[q][1], got[1])), k)
-                    best[q] = got
-        for q, held in enumerate(best):
-            if held is not None and len(held[0]):
-                scores = [min(max(int(s), _LEAST), _MOST) for s in held[0]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([numbers[q]] * len(scores), pa.int64()),
-                        pa.array([query_ids[q]] * len(scores), pa.int64()),
-                        pa.array(held[1], pa.int64()),
-                        pa.array(scores, pa.int64()),
-                    ],
-                    names=["query", "query_id", "id", "score"],
-                )
+        ids, every = candidates.column("id").to_numpy(), _vectors(candidates)
+        for at in range(0, len(ids), BLOCK):
+            block, block_ids = every[at : at + BLOCK], ids[at : at + BLOCK]
+            most = max((float(np.abs(v).max()) for v in block if len(v)), default=0.0)
+            wide = most >= 2**53 or query_most >= 2**53 or most * query_most * terms_most >= 2**62
+            postings = Postings(block, wide)
+            weights = _exact(weight, wide)
+            present = set(block_ids.tolist())
+            for q, name in enumerate(query_ids):
+                mine = slice(bounds[q], bounds[q + 1])
+                scores = postings.scores(term[mine], weights[mine], wide)
+                if name in present:
+                    others = block_ids != name
+                    got = _best(scores[others], block_ids[others], k)
+                else:
+                    got = _best(scores, block_ids, k)
+                if best[q] is not None:
+                    got = _best(np.concatenate((best[q][0], got[0])), np.concatenate((best[q][1], got[1])), k)
+                best[q] = got
+        lengths = [len(ids) for _, ids in best]
+        scores = [min(max(int(s), _LEAST), _MOST) for held, _ in best for s in held]
+        return pa.table(
+            {
+                "query": pa.array(np.repeat(numbers, lengths), pa.int64()),
+                "query_id": pa.array(np.repeat(np.array(query_ids, np.int64), lengths), pa.int64()),
+                "id": pa.array(np.concatenate([ids for _, ids in best]), pa.int64()),
+                "score": pa.array(scores, pa.int64()),
+            }
+        )
 
     return work

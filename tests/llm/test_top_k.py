@@ -39,6 +39,8 @@ def run(spark, rows, queries, k=5, **clash):
 @pytest.mark.parametrize("seed", range(3))
 def test_matches_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(module, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(module, "SLICE", 30)
+    monkeypatch.setattr(module, "BLOCK", 8)
     draw = random.Random(seed)
     rows = [(i, [draw.choice([0.0, 0.0, draw.uniform(-1, 1)]) for _ in range(draw.randint(1, 9))]) for i in range(120)]
     queries = set(range(0, 120, 11))
@@ -62,3 +64,28 @@ def test_scores_beyond_double_precision(spark):
 def test_floor_is_that_of_the_double(spark):
     rows = [(1, [1.0]), (2, [-0.001]), (3, [0.015625]), (4, [0.0156249])]
     assert run(spark, rows, {1}) == [(1, 1, 3, 64), (1, 2, 4, 0), (1, 3, 2, -64)]
+
+
+def test_a_crowded_id_spreads_over_slices(spark, monkeypatch):
+    """A third of the rows are one row over and over: every group still holds its share."""
+    monkeypatch.setattr(module, "SLICE", 50)
+    monkeypatch.setattr(module, "LEAST_SLICE", 50)
+    rows = [(7, [0.5, 1.0])] * 200 + [(i, [i / 64, 1.0]) for i in range(100, 500)]
+    sizes = spark.sparkContext.accumulator(0)
+    search = module._search
+
+    def watched(k):
+        work = search(k)
+
+        def counted(asked, candidates):
+            sizes.add(int(candidates.num_rows > 100))
+            return work(asked, candidates)
+
+        return counted
+
+    monkeypatch.setattr(module, "_search", watched)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(tuple(r) for r in top_k(df, df.where("vec_id in (100, 480)"), k=20).collect())
+    assert got == brute(rows, {100, 480}, 20) and sizes.value == 0
+    own = top_k(df, df.where("vec_id = 7"), k=3)
+    assert own.where("vec_id = 7").count() == 0 and own.count() == 600
