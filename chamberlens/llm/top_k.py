@@ -55,26 +55,34 @@ def _exact(values: np.ndarray, wide: bool) -> np.ndarray:
 
 
 class Postings:
-    """The candidates of a block by term."""
+    """The candidates of a block by term. A term that a quarter of them hold is kept with
+    its zeros, as a line that is added without looking up places."""
 
     def __init__(self, vectors: list[np.ndarray], wide: bool):
         row, term, weight = _rows(vectors)
         order = np.argsort(term, kind="stable")
         self.size = len(vectors)
-        self.terms, starts = np.unique(term[order], return_index=True)
+        terms, starts = np.unique(term[order], return_index=True)
         ends = np.append(starts[1:], len(term))
         rows, weights = row[order], _exact(weight[order], wide)
-        self.lists = {
-            int(t): (slice(None) if b - a == self.size else rows[a:b], weights[a:b]) for t, a, b in zip(self.terms, starts, ends)
-        }
+        self.lists: dict[int, tuple[np.ndarray | None, np.ndarray]] = {}
+        for t, a, b in zip(terms.tolist(), starts, ends):
+            if 4 * (b - a) >= self.size:
+                line = np.zeros(self.size, weights.dtype)
+                line[rows[a:b]] = weights[a:b]
+                self.lists[t] = None, line
+            else:
+                self.lists[t] = rows[a:b], weights[a:b]
 
     def scores(self, terms: np.ndarray, weights: np.ndarray, wide: bool) -> np.ndarray:
         """The dense scores of one query: every term scatters its weighted posting."""
         total = np.zeros(self.size, object if wide else np.int64)
         for t, w in zip(terms.tolist(), weights.tolist()):
-            posting = self.lists.get(t)
-            if posting is not None:
-                total[posting[0]] += posting[1] * w
+            places, held = self.lists.get(t, (None, None))
+            if places is not None:
+                total[places] += held * w
+            elif held is not None:
+                total += held * w
         return total
 
 
