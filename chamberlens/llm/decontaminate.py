@@ -9,6 +9,7 @@ ranks, located by sampled positions, and their spans merged.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -25,13 +26,14 @@ from chamberlens.session import stored
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
 SHARD_BYTES = 32 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 SPANS = "array<struct<first:int,last:int>>"
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_of(text: str | bytes | None) -> list[bytes]:
     """Runs of digits, letters and every non-ASCII character; A-Z in lower case."""
-    return WORD.findall((text or "").encode("utf-8", "replace").lower())
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
+    return WORD.findall(raw.lower())
 
 
 def null_last(item: int | None) -> tuple[bool, int]:
@@ -53,26 +55,36 @@ class Phrases:
     item_ids: np.ndarray
 
     @classmethod
-    def of(cls, items: Iterable[tuple[int | None, str]], window: int) -> Phrases:
+    def of(cls, items: Iterable[tuple[int | None, str | bytes | None]], window: int) -> Phrases:
         """``window`` consecutive words; a shorter item, if it has a word, is one phrase."""
         vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int | None]] = {}
+        read, sizes, owned = array("i"), [], []
         for item, text in items:
-            numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-            for at in range(max(1, len(numbers) - window + 1) if numbers else 0):
-                found.setdefault(tuple(numbers[at : at + window]), set()).add(item)
-        windows = np.zeros((len(found), window), np.int64)
-        for i, phrase in enumerate(found):
-            windows[i, window - len(phrase) :] = phrase
-        pairs = [(i, item) for i, owned in enumerate(found.values()) for item in sorted(owned, key=null_last)]
-        ids = np.array(sorted({item for _, item in pairs} - {None}), np.int64)
-        place = {item: i for i, item in enumerate(ids.tolist())}
+            before = len(read)
+            read.extend(vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text))
+            if len(read) > before:
+                sizes.append(len(read) - before)
+                owned.append(item)
+        numbers, n_words = np.array(read, np.int32), np.array(sizes, np.int64)
+        times = np.maximum(n_words - window + 1, 1)
+        first = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(np.cumsum(n_words) - n_words, times)
+        n_each = np.repeat(np.minimum(n_words, window), times)
+        windows = np.zeros((len(first), window), np.int32)
+        for back in range(min(window, int(n_each.max(initial=0)))):
+            inside = np.flatnonzero(back < n_each)
+            windows[inside, window - 1 - back] = numbers[first[inside] + n_each[inside] - 1 - back]
+        # equal windows become one phrase, owned by every item that holds it
+        windows, phrase = np.unique(windows, axis=0, return_inverse=True)
+        ids = np.array(sorted(set(owned) - {None}), np.int64)
+        place_of = {item: i for i, item in enumerate(ids.tolist())} | {None: len(ids)}
+        places = np.repeat(np.array([place_of[item] for item in owned], np.int64), times)
+        pairs = np.unique(phrase.reshape(-1).astype(np.int64) * (len(ids) + 1) + places)
         return cls(
             vocabulary,
             windows,
-            np.array([len(p) for p in found], np.int64),
-            np.searchsorted([p for p, _ in pairs], np.arange(len(found) + 1)),
-            np.array([place.get(item, len(ids)) for _, item in pairs], np.int64),
+            np.count_nonzero(windows, axis=1),
+            np.searchsorted(pairs // (len(ids) + 1), np.arange(len(windows) + 1)),
+            (pairs % (len(ids) + 1)).astype(np.int32),
             ids,
         )
 
@@ -173,17 +185,27 @@ def cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     return b"".join(kept).decode("utf-8", "replace")
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
-    """Benchmark items in blocks of bounded size; the driver holds one partition's items at a time."""
-    block: list[tuple[int | None, str]] = []
-    size = 0
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """Words of the benchmark items in blocks of bounded size; the driver holds one
+    partition's items at a time. A longer item is cut in pieces that share ``window`` - 1
+    words, so that each of its windows stands in one of them."""
+    block: list[tuple[int | None, bytes]] = []
+    room = block_bytes
     usable = benchmark.where(F.col(text_col).isNotNull())
     for row in usable.select(F.col(id_col).cast("bigint"), F.col(text_col)).toLocalIterator():
-        block.append((row[0], row[1]))
-        size += len(row[1])
-        if size >= block_bytes:
-            yield block
-            block, size = [], 0
+        words = words_of(row[1])
+        at, last = 0, max(0, len(words) - window)
+        while words and at <= last:
+            # the words that begin a window, and those that end the last one
+            to = at
+            while to <= last and room > 0:
+                room -= len(words[to]) + 1
+                to += 1
+            block.append((row[0], b" ".join(words[at : to + window - 1])))
+            at = to
+            if room <= 0:
+                yield block
+                block, room = [], block_bytes
     if block:
         yield block
 
@@ -201,8 +223,10 @@ def find_contamination(
     """The documents with ``n_words``, ``spans`` (merged, in words: first to before last),
     ``n_hit`` (words in spans) and ``items`` (ids of the items found, in order).
 
-    The phrases of up to ``block_bytes`` of benchmark text are broadcast; a larger
-    benchmark takes one stored pass per block, each adding to the spans and items so far.
+    The phrases of a block of the benchmark are broadcast: as many windows as their first
+    words fill ``block_bytes``, so half as many windows at most, as arrays of word numbers.
+    A larger benchmark, or item, takes one stored pass per block, each adding to the spans
+    and items so far.
     A shard closes at ``shard_bytes`` of text; one longer document is a shard by itself.
 
     A null text has no words; a benchmark row without text or words is no item. Rows with
@@ -213,7 +237,7 @@ def find_contamination(
     base = without(docs, "n_words", "spans", "n_hit", "items")
     found = base.withColumns({"n_words": F.lit(0).cast("bigint"), "spans": F.array().cast(SPANS), "items": F.array().cast("array<bigint>")})
     passes = 0
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    for block in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
         found = _searched(stored(found) if passes else found, Phrases.of(block, window), text_col, shard_bytes)
         passes += 1
     if not passes:

@@ -1,9 +1,11 @@
 """FM-index, phrase search and span removal against plain search."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from chamberlens.llm.decontaminate import Phrases, find_contamination, remove_spans, search_shard, words_of
+from chamberlens.llm.decontaminate import Phrases, _blocks, find_contamination, remove_spans, search_shard, words_of
 from chamberlens.llm.fm_index import FMIndex, suffix_array
 
 
@@ -97,3 +99,34 @@ def test_a_very_long_text(spark, docs_of):
     text = "one two " * 150_000 + ITEM
     got = find_contamination(docs_of([(1, text)]), bench).first()
     assert (got["n_words"], got["n_hit"]) == (300_011, 11)
+
+
+@pytest.mark.parametrize("block_bytes", [1, 7, 40, 10_000])
+def test_items_longer_than_a_block_lose_no_window(spark, docs_of, block_bytes):
+    draw = np.random.default_rng(4)
+    long_item = [f"v{i}" for i in draw.integers(0, 50, 60)]
+    items = [(3, " ".join(long_item)), (2, "short one"), (1, " ".join(long_item[20:25]))]
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    rows = [(i, "a b " + " ".join(long_item[i : i + 6]) + " c short one") for i in range(55)]
+    found = find_contamination(docs_of(rows), bench, window=5, block_bytes=block_bytes) if block_bytes > 7 else None
+    blocks = list(_blocks(bench, "item_id", "text", 5, block_bytes))
+    pieces = [(item, words_of(text)) for block in blocks for item, text in block]
+    windows = sorted((item, tuple(w[s : s + 5])) for item, w in pieces for s in range(max(1, len(w) - 4)))
+    assert windows == sorted((i, tuple(words_of(t)[s : s + 5])) for i, t in items for s in range(max(1, len(words_of(t)) - 4)))
+    if found is not None:
+        got = [(r["n_words"], r["n_hit"], list(r["items"])) for r in sorted(found.collect(), key=lambda r: r["doc_id"])]
+        assert got == brute([t for _, t in rows], items, 5)
+
+
+@pytest.mark.parametrize("n_names", [20, 100_000])
+def test_a_full_block_stays_small(n_names):
+    draw = np.random.default_rng(6)
+    names = np.array([f"w{i:x}" for i in range(n_names)])
+    words = 60 * (1 << 10)
+    items = [(i, " ".join(names[draw.integers(0, n_names, 60)])) for i in range(words // 60)]
+    tracemalloc.start()
+    phrases = Phrases.of(items, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(phrases.windows) == 51 * (1 << 10) and phrases.windows.dtype == np.int32
+    assert peak < 400 * words
