@@ -48,16 +48,48 @@ SENTENCES = {
     "spdxGpl3": "spdx license identifier gpl 3 0 only",
     "spdxBsd3": "spdx license identifier bsd 3 clause",
     "reserved": "all rights reserved",
+    "mitLiability": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "bsdWarranty": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsdLiability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "lgpl21Redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3Redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl3RedistributeProgram": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgplHope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgplSee": "see the gnu lesser general public license for more details",
+    "agplRedistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agplSee": "see the gnu affero general public license for more details",
+    "epl1Name": "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",
+    "epl2Name": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "unlicenseFree": "this is free and unencumbered software released into the public domain",
+    "unlicenseAnyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "zlibWarranty": "this software is provided as is without any express or implied warranty",
+    "zlibLiability": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlibGrant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "boostName": "distributed under the boost software license version 1 0",
+    "boostAccompany": "see accompanying file license 1 0 txt or copy at http www boost org license 1 0 txt",
+    "perlTerms": "you can redistribute it and or modify it under the same terms as perl itself",
+    "artistic2Name": "licensed under the artistic license 2 0",
+    "artistic2Terms": "you can redistribute it and or modify it under the terms of the artistic license 2 0",
 }
 
 #: Licence and the sequence of sentence identifiers that proves it; the first rule wins its sentences.
 LICENCE_RULES = (
+    ("MIT", ("mitGrant", "mitNotice", "mitWarranty", "mitLiability")),
     ("MIT", ("mitGrant", "mitNotice", "mitWarranty")),
     ("MIT", ("mitGrant", "mitNotice")),
     ("Apache-2.0", ("apacheCombined", "apacheObtain", "apacheWarranty", "apacheSee")),
     ("Apache-2.0", ("apacheGrant", "apacheUse", "apacheObtain")),
     ("GPL-3.0-or-later", ("gplRedistribute", "gplHope", "gplSee")),
     ("GPL-2.0-or-later", ("gpl2Redistribute", "gplHope", "gplSee")),
+    ("AGPL-3.0-or-later", ("agplRedistribute", "gplHope", "agplSee")),
+    ("LGPL-2.1-or-later", ("lgpl21Redistribute", "lgplHope", "lgplSee")),
+    ("LGPL-3.0-or-later", ("lgpl3Redistribute", "lgplHope", "lgplSee")),
+    ("LGPL-3.0-or-later", ("lgpl3RedistributeProgram", "gplHope", "lgplSee")),
+    ("BSD-3-Clause", ("bsdGrant", "bsdSource", "bsdBinary", "bsdEndorse", "bsdWarranty", "bsdLiability")),
+    ("BSD-2-Clause", ("bsdGrant", "bsdSource", "bsdBinary", "bsdWarranty", "bsdLiability")),
+    ("Zlib", ("zlibWarranty", "zlibLiability", "zlibGrant")),
+    ("Unlicense", ("unlicenseFree", "unlicenseAnyone")),
+    ("BSL-1.0", ("boostName", "boostAccompany")),
     ("BSD-3-Clause", ("bsdGrant", "bsdSource", "bsdBinary", "bsdEndorse")),
     ("BSD-2-Clause", ("bsdGrant", "bsdSource", "bsdBinary")),
     ("GPL-3.0-or-later", ("gplRedistribute",)),
@@ -81,20 +113,42 @@ LICENCE_RULES = (
     ("CC-BY-SA-4.0", ("ccBySa4",)),
     ("CC-BY-4.0", ("ccBy4",)),
     ("CC0-1.0", ("cc0",)),
+    ("AGPL-3.0-or-later", ("agplRedistribute",)),
+    ("LGPL-2.1-or-later", ("lgpl21Redistribute",)),
+    ("LGPL-3.0-or-later", ("lgpl3Redistribute",)),
+    ("LGPL-3.0-or-later", ("lgpl3RedistributeProgram",)),
+    ("EPL-1.0", ("epl1Name",)),
+    ("EPL-2.0", ("epl2Name",)),
+    ("Zlib", ("zlibGrant",)),
+    ("Unlicense", ("unlicenseFree",)),
+    ("BSL-1.0", ("boostName",)),
+    ("Artistic-2.0", ("artistic2Name",)),
+    ("Artistic-2.0", ("artistic2Terms",)),
+    ("Artistic-1.0-Perl OR GPL-1.0-or-later", ("perlTerms",)),
 )
 
 #: A line break before a lower-case letter, past comment marks, does not end a line either.
 SOFT_BREAK = r"\n[ \t]*(?:#+|//+|\*+|--+|;+)?[ \t]*([a-z])"
-SENTENCE_END = r"[.!?]+(?:\s+|$)"
 NOT_WORD = r"[^a-z0-9]+"
 #: Sentences are told apart by this character until they are split; lines within them stay.
 _END = "\x1e"
 _MARK = r"[ \t]*(?:#+|//+|\*+|--+|;+)?[ \t]*"
 #: What ends a sentence besides its mark: blank lines and the numbers of list items.
 _BLANK_LINES = rf"\r?\n(?:{_MARK}\r?\n)+"
-_LIST_ITEM = rf"\n{_MARK}(?:\(?[0-9]{{1,2}}[.)]|\([a-z]\)|[-\u2022])[ \t]+"
-_VERSION_DOT = r"(?i)\b(v|ver)\.(?=\s{0,9}\d)"
-_SENTENCE_MARK = rf"[.!?]+(?:[\s{_END}]+|$)"
+_LIST_ITEM = rf"\n{_MARK}(?:\(?[0-9]{{1,2}}[.)]|\([a-z]\)|[-\x{{2022}}])[ \t]+"
+_VERSION_DOT = r"(?i)\b(v|ver)\.([\s\x0B]{0,9}[0-9])"
+_SENTENCE_MARK = rf"[.!?]+(?:[\s\x0B{_END}]+|\z)"
+#: What each pattern becomes, in this order; a number in braces stands for a group.
+BREAKS = ((_VERSION_DOT, "{1} {2}"), (_BLANK_LINES, _END), (_LIST_ITEM, _END), (SOFT_BREAK, " {1}"), (_SENTENCE_MARK, _END))
+
+#: An SPDX tag and its expression on one line: identifiers joined by operators, perhaps in parentheses.
+_SPDX_ID = r"[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\+?"
+_SPDX_TERM = rf"(?:\([ \t]*)*{_SPDX_ID}(?:[ \t]*\))*"
+SPDX = rf"(?i:SPDX-License-Identifier):[ \t]*({_SPDX_TERM}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_TERM})*)"
+SPDX_EXCEPTION = rf"[ \t]+WITH[ \t]+{_SPDX_ID}"
+#: Identifiers of the GNU licences before they told "only" from "or later".
+SPDX_LATER, SPDX_ONLY = r"^((?:A|L)?GPL-[0-9.]+)\+$", r"^((?:A|L)?GPL-[0-9.]+)$"
+SPDX_NO_LICENCE = ("AND", "OR", "NONE", "NOASSERTION")
 #: Characters that may stand before a known sentence in its first line, and the words up to which one is a title.
 LEAD_IN, TITLE_WORDS = 40, 4
 
@@ -148,31 +202,51 @@ def _known_in(lines: Column, sentences: Mapping[str, str]) -> Column:
     return F.aggregate(places, start, step, lambda state: state["ids"])
 
 
+def cues(sentences: Mapping[str, str]) -> str:
+    """Pattern of words of which each known sentence holds one, so that others need no look."""
+    return "|".join(sorted({max(s.split(" "), key=len) for s in sentences.values()}))
+
+
+def spdx_licenses(expressions: Column, known: Sequence[str]) -> Column:
+    """Licences named in SPDX expressions, exceptions left out, in order and repeated."""
+    spelling = F.create_map(*[F.lit(x) for name in sorted(set(known)) for x in (name.lower(), name)])
+
+    def named(expression: Column) -> Column:
+        plain = F.regexp_replace(expression, SPDX_EXCEPTION, "")
+        return F.filter(F.regexp_extract_all(plain, F.lit(_SPDX_ID), F.lit(0)), lambda i: ~i.isin(*SPDX_NO_LICENCE))
+
+    def current(i: Column) -> Column:
+        i = F.regexp_replace(F.regexp_replace(i, SPDX_LATER, "$1-or-later"), SPDX_ONLY, "$1-only")
+        return F.coalesce(F.try_element_at(spelling, F.lower(i)), i)
+
+    return F.transform(F.flatten(F.transform(expressions, named)), current)
+
+
 def scan_licenses(
     docs: DataFrame,
     text_col: str = "text",
     sentences: Mapping[str, str] = SENTENCES,
     rules: Sequence[tuple[str, Sequence[str]]] = LICENCE_RULES,
 ) -> DataFrame:
-    """The documents with ``sentence_ids``, ``licenses`` and ``n_unexplained``.
+    """The documents with ``sentence_ids``, ``licenses``, ``n_unexplained``, ``spdx_expressions``.
 
     A sentence ends with its mark, at a blank line or before a list item, not where a line
     wraps. ``sentence_ids`` are the known sentences of the whole text in order; ``licenses`` the
     distinct licences in the order of the rules. Each rule takes every place where its
     identifiers stand in a row, and what it took is closed to later rules.
-    ``n_unexplained`` counts sentences that no rule took. Null and empty texts have none.
+    ``n_unexplained`` counts sentences that no rule took. ``spdx_expressions`` are those
+    that follow a tag on its line; the licences they name, whatever joins them and without
+    exceptions, follow those of the rules. Null and empty texts have none of all this.
     Rows are judged one by one, so repeated rows give repeated results; input columns with
     the names of the results are replaced.
     """
-    base = without(docs, "sentence_ids", "licenses", "n_unexplained")
-    parts, found = free_names(base, "_parts", "_found")
+    base = without(docs, "sentence_ids", "licenses", "n_unexplained", "spdx_expressions")
+    parts, found, tags = free_names(base, "_parts", "_found", "_tags")
     text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(_END), F.lit(" "))
-    for pattern, by in ((_VERSION_DOT, "$1 "), (_BLANK_LINES, _END), (_LIST_ITEM, _END), (SOFT_BREAK, " $1"), (_SENTENCE_MARK, _END)):
-        text = F.regexp_replace(text, pattern, by)
+    for pattern, by in BREAKS:
+        text = F.regexp_replace(text, pattern, by.format("", "$1", "$2"))
     shortest = min(map(len, sentences.values()))
-    # a known sentence holds each of its words, so its longest one tells where to look at all
-    cues = "|".join(sorted({max(s.split(" "), key=len) for s in sentences.values()}))
-    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & F.lower(s).rlike(cues))
+    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & F.lower(s).rlike(cues(sentences)))
     ids = F.flatten(F.transform(F.transform(likely, _lines), lambda lines: _known_in(lines, sentences)))
 
     written = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_row(seq)).alias("row")) for name, seq in rules])
@@ -192,13 +266,15 @@ def scan_licenses(
     row = F.concat(F.lit("|"), F.array_join(F.transform(parts, lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""), F.lit("|"))
     stated = listed.withColumn(found, F.struct(row.alias("row")))
     matched = F.when(F.size(parts) > 0, F.aggregate(written, start, take)).otherwise(start)
-    return stated.withColumn(found, matched).select(
+    tagged = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPDX), F.lit(1))
+    return stated.withColumns({found: matched, tags: tagged}).select(
         *base.columns,
         F.col(parts).alias("sentence_ids"),
-        F.array_distinct(F.col(found)["names"]).alias("licenses"),
+        F.array_distinct(F.concat(F.col(found)["names"], spdx_licenses(F.col(tags), [n for n, _ in rules]))).alias("licenses"),
         (F.char_length(F.col(found)["row"]) - F.char_length(F.replace(F.col(found)["row"], F.lit("<"), F.lit(""))))
         .cast("bigint")
         .alias("n_unexplained"),
+        F.col(tags).alias("spdx_expressions"),
     )
 
 

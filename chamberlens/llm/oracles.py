@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from chamberlens.llm.license_scan import LICENCE_RULES, NOT_WORD, SENTENCE_END, SENTENCES, SOFT_BREAK, _row
+from chamberlens.llm.license_scan import (
+    BREAKS,
+    LEAD_IN,
+    LICENCE_RULES,
+    NOT_WORD,
+    SENTENCES,
+    SPDX,
+    SPDX_EXCEPTION,
+    SPDX_LATER,
+    SPDX_NO_LICENCE,
+    SPDX_ONLY,
+    TITLE_WORDS,
+    _END,
+    _SPDX_ID,
+    _row,
+    cues,
+)
 from chamberlens.llm.url_filter import BAD_LIMIT, PAIRED_SUFFIXES, RULES, SIGMAS
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,8 +130,15 @@ FROM joined
 
 
 def _license_sql() -> str:
-    known = ", ".join(f"({_text(s)}, {_text(i)})" for i, s in SENTENCES.items())
-    soft = _text(SOFT_BREAK.replace(r"\n", "\n").replace(r"\t", "\t"))
+    """The operator's rules as joins: a known sentence fits at a line if the sentence's words
+    up to that line end with it and it begins near the start of a line."""
+    longest_first = sorted(SENTENCES.items(), key=lambda x: -len(x[1]))
+    known = ", ".join(
+        f"({_text(' ' + s)}, {_text(i)}, {at}, {LEAD_IN if s.count(' ') >= TITLE_WORDS else 0})" for at, (i, s) in enumerate(longest_first)
+    )
+    text = f"replace(coalesce(text, ''), {_text(_END)}, ' ')"
+    for pattern, by in BREAKS:
+        text = f"regexp_replace({text}, {_text(pattern)}, {_text(by.format('', chr(92) + '1', chr(92) + '2'))}, 'g')"
     steps, last = [], "r0"
     for i, (name, sequence) in enumerate(LICENCE_RULES, 1):
         row = _text(_row(sequence))
@@ -125,25 +148,51 @@ def _license_sql() -> str:
             f"THEN list_append(names, {_text(name)}) ELSE names END AS names FROM {last})"
         )
         last = f"r{i}"
+    names = sorted({name for name, _ in LICENCE_RULES})
+    spelling = "map([" + ", ".join(_text(n.lower()) for n in names) + "], [" + ", ".join(map(_text, names)) + "])"
+    no_licence = ", ".join(map(_text, SPDX_NO_LICENCE))
+    current = rf"regexp_replace(regexp_replace(i, {_text(SPDX_LATER)}, '\1-or-later'), {_text(SPDX_ONLY)}, '\1-only')"
     return f"""
-WITH piece AS (
-  SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace(coalesce(text, ''), {soft}, ' \\1', 'g'),
-         {_text(SENTENCE_END)}, chr(10), 'g'), chr(10))) AS sentence,
-         generate_subscripts(string_split(regexp_replace(regexp_replace(coalesce(text, ''), {soft}, ' \\1', 'g'),
-         {_text(SENTENCE_END)}, chr(10), 'g'), chr(10)), 1) AS place
-  FROM documents
-), known(words, id) AS (VALUES {known}
-), hit AS (
-  SELECT doc_id, place, id FROM piece JOIN known ON words = trim(regexp_replace(lower(sentence), {_text(NOT_WORD)}, ' ', 'g'))
+WITH RECURSIVE cut AS (SELECT doc_id, string_split({text}, {_text(_END)}) AS pieces FROM documents
+), piece AS (SELECT doc_id, unnest(pieces) AS sentence, generate_subscripts(pieces, 1) AS place FROM cut
+), likely AS (SELECT * FROM piece WHERE regexp_matches(lower(sentence), {_text(cues(SENTENCES))})
+), written AS (
+  SELECT doc_id, place, unnest(string_split(sentence, chr(10))) AS raw, generate_subscripts(string_split(sentence, chr(10)), 1) AS spot FROM likely
+), line AS (
+  SELECT doc_id, place, ' ' || trim(regexp_replace(lower(raw), {_text(NOT_WORD)}, ' ', 'g')) AS words, spot
+  FROM written WHERE trim(regexp_replace(lower(raw), {_text(NOT_WORD)}, ' ', 'g')) <> ''
+), run AS (
+  SELECT doc_id, place, row_number() OVER w AS j, string_agg(words, '') OVER w AS words, sum(length(words)) OVER w AS ends, length(words) AS size
+  FROM line WINDOW w AS (PARTITION BY doc_id, place ORDER BY spot)
+), known(words, id, nth, room) AS (VALUES {known}
+), fits AS (
+  SELECT r.doc_id, r.place, r.j, id, nth, b.j AS begins FROM run r JOIN known k ON ends_with(r.words, k.words)
+  JOIN run b ON b.doc_id = r.doc_id AND b.place = r.place AND b.j <= r.j AND b.ends - b.size <= r.ends - length(k.words)
+   AND b.ends > r.ends - length(k.words) AND r.ends - length(k.words) - (b.ends - b.size) <= room
+), hit AS (SELECT doc_id, place, j, arg_min(id, nth) AS id, arg_min(begins, nth) AS begins FROM fits GROUP BY ALL
+), earlier AS (
+  SELECT h.doc_id, h.place, h.j, max(g.j) AS before FROM hit h JOIN hit g ON g.doc_id = h.doc_id AND g.place = h.place AND g.j < h.begins GROUP BY ALL
+), chosen(doc_id, place, j) AS (
+  SELECT doc_id, place, max(j) FROM hit GROUP BY ALL
+  UNION ALL SELECT c.doc_id, c.place, e.before FROM chosen c JOIN earlier e ON e.doc_id = c.doc_id AND e.place = c.place AND e.j = c.j
 ), listed AS (
-  SELECT doc_id, string_agg(id, ',' ORDER BY place) AS ids, '|' || string_agg('<' || id || '>', '' ORDER BY place) || '|' AS left_over
-  FROM hit GROUP BY doc_id
+  SELECT doc_id, string_agg(id, ',' ORDER BY place, j) AS ids, '|' || string_agg('<' || id || '>', '' ORDER BY place, j) || '|' AS left_over
+  FROM chosen JOIN hit USING (doc_id, place, j) GROUP BY doc_id
 ), r0 AS (SELECT doc_id, ids, left_over, CAST([] AS VARCHAR[]) AS names FROM listed
 ), {", ".join(steps)}
-SELECT d.doc_id, CAST(coalesce(len(string_split(ids, ',')), 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids,
-       coalesce(array_to_string(names, ','), '') AS licenses,
+, tagged AS (
+  SELECT doc_id, list_transform(list_filter(flatten(list_transform(regexp_extract_all(coalesce(text, ''), {_text(SPDX)}, 1),
+         lambda e: regexp_extract_all(regexp_replace(e, {_text(SPDX_EXCEPTION)}, '', 'g'), {_text(_SPDX_ID)}))),
+         lambda i: i NOT IN ({no_licence})), lambda i: coalesce({spelling}[lower({current})], {current})) AS spdx
+  FROM documents
+), named AS (
+  SELECT d.doc_id, ids, left_over, list_concat(coalesce(names, CAST([] AS VARCHAR[])), spdx) AS names
+  FROM documents d LEFT JOIN {last} ON {last}.doc_id = d.doc_id JOIN tagged t ON t.doc_id = d.doc_id
+)
+SELECT doc_id, CAST(coalesce(len(string_split(ids, ',')), 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids,
+       array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licenses,
        CAST(coalesce(length(left_over) - length(replace(left_over, '<', '')), 0) AS BIGINT) AS n_unexplained
-FROM documents d LEFT JOIN {last} ON {last}.doc_id = d.doc_id
+FROM named
 """
 
 
@@ -205,7 +254,8 @@ WITH conv AS (
   FROM conv c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 20
 ), member AS (
   SELECT conv_id, d, CASE WHEN d > 0 THEN path[1:d] ELSE [] END AS prefix, d = len(path) AS ends,
-         CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-]+')) ELSE 0 END AS words
+         CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-
+]+')) ELSE 0 END AS words
   FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
 ), node AS (
   SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,

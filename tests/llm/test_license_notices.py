@@ -1,7 +1,11 @@
 """The usual licence notices as they stand in files, wrapped and behind comment marks."""
 
+import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from chamberlens.llm.oracles import LLM_ORACLES
 from chamberlens.llm.license_scan import SENTENCES, scan_licenses
 
 GPL = """This program is free software: you can redistribute it and/or modify
@@ -87,3 +91,100 @@ def test_wrapped_notices_are_recognised(docs_of, mark):
 def test_long_lead_ins_and_words_after_a_sentence_do_not_count(docs_of):
     rows = [(1, "word " * 30 + SENTENCES["mitName"] + "."), (2, SENTENCES["mitName"] + " or not."), (3, "xmit license"), (4, "no MIT license")]
     assert all(not r["sentence_ids"] for r in scan_licenses(docs_of(rows)).collect())
+
+
+LGPL = GPL.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+AGPL = GPL.replace("GNU General", "GNU Affero General")
+EPL = """All rights reserved. This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html
+"""
+BSD_DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""
+BOOST = """Distributed under the Boost Software License, Version 1.0.
+   (See accompanying file LICENSE_1_0.txt or copy at
+         http://www.boost.org/LICENSE_1_0.txt)
+"""
+PERL = """This library is free software; you can redistribute it and/or modify
+it under the same terms as Perl itself.
+"""
+MORE = [
+    (LGPL, ["LGPL-2.1-or-later"], 0),
+    (AGPL, ["AGPL-3.0-or-later"], 0),
+    (EPL, ["EPL-1.0"], 1),
+    (BSD3 + BSD_DISCLAIMER, ["BSD-3-Clause"], 0),
+    (BSD + BSD_DISCLAIMER, ["BSD-2-Clause"], 0),
+    (ZLIB, ["Zlib"], 0),
+    (UNLICENSE, ["Unlicense"], 0),
+    (BOOST, ["BSL-1.0"], 0),
+    (PERL, ["Artistic-1.0-Perl OR GPL-1.0-or-later"], 0),
+]
+TAGS = [
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT\nint x;", ["Apache-2.0 OR MIT"], ["Apache-2.0", "MIT"]),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */", ["GPL-2.0-only"], ["GPL-2.0-only"]),
+    ("# spdx-license-identifier: (gpl-2.0+ WITH Classpath-exception-2.0) AND mit.", ["(gpl-2.0+ WITH Classpath-exception-2.0) AND mit"], ["gpl-2.0+", "MIT"]),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note", ["GPL-2.0 WITH Linux-syscall-note"], ["GPL-2.0-only"]),
+    ("SPDX-License-Identifier: LGPL-2.1+\nSPDX-License-Identifier: MIT", ["LGPL-2.1+", "MIT"], ["MIT", "LGPL-2.1-or-later"]),
+    ("SPDX-License-Identifier: NONE", ["NONE"], []),
+    ("SPDX-License-Identifier: LicenseRef-own and more", ["LicenseRef-own"], ["LicenseRef-own"]),
+    ("SPDX-License-Identifier: \nno licence here", [], []),
+    ("Licensed under the MIT License. SPDX-License-Identifier: Zlib OR (ISC AND MIT)", ["Zlib OR (ISC AND MIT)"], ["MIT", "Zlib", "ISC"]),
+]
+
+
+@pytest.mark.parametrize("mark", ["", " * "])
+def test_further_notices_are_recognised_and_explained(docs_of, mark):
+    texts = ["".join(f"{mark}{line}".rstrip() + "\n" for line in text.split("\n")) for text, _, _ in MORE]
+    got = {r["doc_id"]: (list(r["licenses"]), r["n_unexplained"]) for r in scan_licenses(docs_of(list(enumerate(texts)))).collect()}
+    assert got == {i: (names, left) for i, (_, names, left) in enumerate(MORE)}
+
+
+def test_spdx_expressions(docs_of):
+    rows = [*enumerate(t for t, _, _ in TAGS), (90, None), (91, "")]
+    got = {r["doc_id"]: (list(r["spdx_expressions"]), list(r["licenses"])) for r in scan_licenses(docs_of(rows)).collect()}
+    assert got == {i: (e, n) for i, (_, e, n) in enumerate(TAGS)} | {90: ([], []), 91: ([], [])}
+
+
+def test_operator_equals_its_sql(docs_of):
+    plain = [text for text, _, _ in NOTICES + MORE + TAGS]
+    marked = ["".join(f"{m}{line}\n" for line in t.split("\n")) for t in plain for m in ("# ", "\t// ", "\r")]
+    joined = [" ".join(t.split()) for t in plain] + [a + b for a, b in zip(plain, reversed(plain))] + ["words before " + t for t in plain]
+    odd = [None, "", "\n\n", ".", "\x1e mit license", "MIT License v. 2", "The MIT License\n- MIT License\n\u2022 MIT License (c) MIT License\x0b. MIT license!\u2028"]
+    rows = list(enumerate(plain + marked + joined + odd))
+    found = scan_licenses(docs_of(rows)).select(
+        "doc_id",
+        F.size("sentence_ids").alias("n_sentences"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+        "n_unexplained",
+    )
+    base = duckdb.connect()
+    base.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    expected = sorted(base.sql(f"SELECT doc_id, n_sentences, sentence_ids, licenses, n_unexplained FROM ({LLM_ORACLES['op5_license_scan']})").fetchall())
+    assert sorted(map(tuple, found.collect())) == expected
