@@ -204,7 +204,8 @@ def _known_in(lines: Column, sentences: Mapping[str, str]) -> Column:
 
 def cues(sentences: Mapping[str, str]) -> str:
     """Pattern of words of which each known sentence holds one, so that others need no look."""
-    return "|".join(sorted({max(s.split(" "), key=len) for s in sentences.values()}))
+    words = sorted({max(s.split(" "), key=len) for s in sentences.values()})
+    return rf"(?:^|[^a-z0-9])(?:{'|'.join(words)})"
 
 
 def spdx_licenses(expressions: Column, known: Sequence[str]) -> Column:
@@ -242,11 +243,13 @@ def scan_licenses(
     """
     base = without(docs, "sentence_ids", "licenses", "n_unexplained", "spdx_expressions")
     parts, found, tags = free_names(base, "_parts", "_found", "_tags")
-    text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(_END), F.lit(" "))
+    text = whole = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(_END), F.lit(" "))
     for pattern, by in BREAKS:
         text = F.regexp_replace(text, pattern, by.format("", "$1", "$2"))
     shortest = min(map(len, sentences.values()))
-    likely = F.filter(F.split(text, _END, -1), lambda s: (F.char_length(s) >= shortest) & F.lower(s).rlike(cues(sentences)))
+    # most texts hold no cue and need not be cut into sentences
+    pieces = F.when(F.lower(whole).rlike(cues(sentences)), F.split(text, _END, -1)).otherwise(F.array().cast("array<string>"))
+    likely = F.filter(pieces, lambda s: (F.char_length(s) >= shortest) & F.lower(s).rlike(cues(sentences)))
     ids = F.flatten(F.transform(F.transform(likely, _lines), lambda lines: _known_in(lines, sentences)))
 
     written = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_row(seq)).alias("row")) for name, seq in rules])
