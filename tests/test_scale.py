@@ -178,6 +178,24 @@ def test_a_crowded_hour_of_measurements_is_spread(spark, conf):
     assert joined.select("date_time", "T_a_mean").distinct().count() == 1
 
 
+def repeated_rows(plan):
+    """Rows that the Generate nodes of an executed plan put out."""
+    children = plan.children()
+    below = sum(repeated_rows(children.apply(i)) for i in range(children.size()))
+    return below + (plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "Generate" else 0)
+
+
+@pytest.mark.parametrize("crowd", [0, 5000])
+def test_features_of_hours_that_are_not_crowded_are_not_repeated(spark, conf, crowd):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    x = one_per_minute(spark, 12_000).withColumnRenamed("quality", "T_a")
+    y = one_per_minute(spark, 6000).unionByName(hot_sensors(spark, crowd, 0).selectExpr("date_time", "1.5D AS quality"))
+    joined = hourly_join(x, y, slices=64)
+    assert len(joined.collect()) == 6000 + crowd
+    assert 200 <= repeated_rows(joined._jdf.queryExecution().executedPlan()) <= 200 + 64
+
+
 def test_gap_filter_reaches_the_scan(spark, small, tmp_path):
     x, _ = sensor_and_quality(spark, small)
     x.write.parquet(str(tmp_path / "x"))
