@@ -83,18 +83,21 @@ def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int
     return descend(gradient, x.shape[1] + 1, rounds, 0.25)
 
 
-def platt(margins: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+def platt(margins: np.ndarray, y: np.ndarray, rounds: int = 50, rows: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and offset for sigmoid(slope * margin + offset), by damped Newton steps; y is 0 or 1.
 
     The targets are pulled in from 0 and 1, so the slope stays finite on separable data.
+    ``rows`` says how many rows each margin stands for.
     """
-    up, down = (y == 1).sum(), (y == 0).sum()
+    rows = np.ones(len(y)) if rows is None else rows
+    up, down = rows[y == 1].sum(), rows[y == 0].sum()
     t = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
     a, b = 1.0, 0.0
     for _ in range(rounds):
         p = sigmoid(a * margins + b)
-        g = np.array([((p - t) * margins).sum(), (p - t).sum()])
-        v = p * (1 - p)
+        off = rows * (p - t)
+        g = np.array([(off * margins).sum(), off.sum()])
+        v = rows * p * (1 - p)
         h = np.array([[(v * margins**2).sum(), (v * margins).sum()], [(v * margins).sum(), v.sum()]]) + 1e-3 * np.eye(2)
         change = np.linalg.solve(h, g)
         change *= min(1, 2 / max(1e-12, np.abs(change).max()))

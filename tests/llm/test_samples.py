@@ -1,5 +1,6 @@
 """The samples that models are fitted on: size, bounds and crowded keys."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from chamberlens.llm.common import DRAWS, draw_limit
@@ -42,3 +43,31 @@ def test_a_crowded_labelled_key_counts_once(spark, monkeypatch):
     fit_quality(docs, labels, sample=2_000)
     fit_quality(docs, labels, sample=100)
     assert [(t.count(0), t.count(1)) for t in taken] == [(500, 500), (50, 50)]
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    """Marks that one document in many bears move the weights, whichever document it is."""
+    from chamberlens.llm import quality
+
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(quality, "LEAST_ROWS", 10)
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('plain words ', id, if(id % 10 = 0, ' ### !!!', ' and more')) AS text")
+    labels = spark.range(300).selectExpr("id AS doc_id", "CAST(id % 10 != 0 AS INT) AS quality")
+    plain = quality.fit_quality(docs, labels, pairs=60)
+    again = quality.fit_quality(docs.repartition(7), labels.repartition(3).union(labels), pairs=60)
+    assert np.allclose(plain.weights, again.weights, atol=1e-6) and abs(plain.cut - again.cut) < 1e-6
+    assert quality.score_quality(docs, plain).where("predicted = 0").count() == 30
+    for odd in (1, 150, 299):
+        text = F.when(F.col("doc_id") == odd, F.lit("Zyxwv")).otherwise(F.col("text"))
+        changed = quality.fit_quality(docs.withColumn("text", text), labels, pairs=60)
+        assert np.abs(changed.weights - plain.weights).max() > 1e-4
+
+
+def test_every_row_stands_in_a_pair():
+    from chamberlens.llm.quality import _every_pair
+
+    labels = np.array([0] * 90 + [1] * 7)
+    for pairs in (5, 50, 200):
+        better, worse = _every_pair(labels, pairs)
+        assert len(better) == len(worse) == max(90, pairs)
+        assert set(better) == set(range(90, 97)) and set(worse) == set(range(90))
