@@ -1,5 +1,8 @@
-"""The plan of the sensor view."""
+"""The plan of the sensor view, and a scorer's sums over a grid."""
 
+import numpy as np
+
+from chamberlens.operators.boost import Scorer
 from chamberlens.operators.clean import clean_sensors
 from chamberlens.sources.event_sensors import sensor_and_quality
 
@@ -10,3 +13,21 @@ def test_the_gap_filter_repeats_no_reading(spark, small):
     plan = clean_sensors(sensors)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("% 97" in line for line in filters)
+
+
+def test_a_scorers_sums_are_those_of_its_scores():
+    rng = np.random.default_rng(5)
+    feature = rng.integers(-1, 4, (9, 15))
+    feature[:, 7:] = -1
+    scorer = Scorer(0.25, 0.1, feature, rng.normal(size=(9, 15)), rng.normal(size=(9, 15)))
+    rows = rng.normal(size=(50, 4))
+    rows[3, 1] = np.nan
+    for held in ([0], [3, 1]):
+        points = rng.normal(size=(6, len(held)))
+        want = []
+        for point in points:
+            block = rows.copy()
+            block[:, held] = point
+            want.append(scorer(block).sum())
+        np.testing.assert_allclose(scorer.sums(rows, held, points), want, rtol=1e-12)
+    assert (scorer.sums(rows[:0], [0], np.zeros((2, 1))) == 0).all()
