@@ -1,9 +1,11 @@
-"""The plan of the sensor view, and a scorer's sums over a grid."""
+"""The plans of the sensor view and of partial dependence, and a scorer's sums over a grid."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from chamberlens.operators.boost import Scorer
 from chamberlens.operators.clean import clean_sensors
+from chamberlens.operators.explain import pdp_1d
 from chamberlens.sources.event_sensors import sensor_and_quality
 
 
@@ -15,6 +17,18 @@ def test_the_gap_filter_repeats_no_reading(spark, small):
     assert filters and not any("% 97" in line for line in filters)
 
 
+def test_rows_are_dealt_over_the_cores_before_they_are_repeated(spark):
+    few = spark.range(64).select(F.col("id").cast("double").alias("a")).coalesce(1)
+    tasks = []
+
+    def predict(df):
+        tasks.extend(df.select(F.spark_partition_id().alias("p")).distinct().collect())
+        return df.withColumn("yhat", F.col("a"))
+
+    assert pdp_1d(predict, few, "a", [1.0, 2.0]).count() == 2
+    assert len(tasks) > 1
+
+
 def test_a_scorers_sums_are_those_of_its_scores():
     rng = np.random.default_rng(5)
     feature = rng.integers(-1, 4, (9, 15))
